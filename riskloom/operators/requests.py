@@ -27,7 +27,8 @@ def decode(requests: DataFrame, body: str = "body") -> DataFrame:
     parsed = requests.withColumn("_fields", F.from_json(text, "map<string,string>"))
     fields = F.col("_fields")
     # Only bodies that are no object are looked at again.
-    other_json = F.when(fields.isNull(), F.coalesce(~F.is_variant_null(F.try_parse_json(text)), F.lit(False)))
+    value = F.try_parse_json(text)
+    other_json = fields.isNull() & value.isNotNull() & ~F.is_variant_null(value)
     absent = F.when(fields.isNotNull(), F.filter(required, lambda f: ~F.map_contains_key(fields, f))).when(
         other_json, required
     )
