@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -12,6 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from riskloom.operators.features import align
 from riskloom.operators.metrics import classification_report, confusion, roc_auc, scores_of, summarise_folds, test_summary
@@ -69,15 +71,21 @@ def score(model: PipelineModel, table: DataFrame, keep: Sequence[str] = ()) -> D
 
 
 def cross_validate(
-    folded: DataFrame, columns: Sequence[str], folds: int = NUM_FOLDS, settings: ForestSettings = ForestSettings()
+    folded: DataFrame, columns: Sequence[str], folds: int = NUM_FOLDS, settings: ForestSettings = ForestSettings(),
+    parallelism: int = NUM_FOLDS,
 ) -> DataFrame:
-    """Fit once per fold and score its two sides: rows (fold, split, metric, value)."""
-    parts = []
-    for k in range(folds):
+    """Fit once per fold and score its two sides: rows (fold, split, metric, value).
+
+    Up to ``parallelism`` fits are submitted to the cluster at a time.
+    """
+
+    def predictions(k: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != k), columns, settings)
         side = F.when(F.col("fold") == k, "test").otherwise("train").alias("split")
-        scored = score(model, folded, keep=[TARGET, "fold"]).select(F.lit(k).alias("round"), side, TARGET, "pred")
-        parts.append(scored)
+        return score(model, folded, keep=[TARGET, "fold"]).select(F.lit(k).alias("round"), side, TARGET, "pred")
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        parts = pool.map(inheritable_thread_target(folded.sparkSession)(predictions), range(folds))
     cells = confusion(reduce(DataFrame.unionByName, parts), ["round", "split"], label=TARGET)
     return scores_of(cells, ["round", "split"]).withColumnRenamed("round", "fold")
 
