@@ -95,8 +95,9 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
     """Area under the ROC curve, ties counted half; one row, null with a single class.
 
     Rows are first summed per distinct score. The running count of negatives is then
-    taken inside score ranges holding about as many distinct scores each, and the ranges
-    are put together from their totals, so no task sorts all scores.
+    taken inside ranges between quantiles, so none holds many more distinct scores than
+    its share of the rows, and the ranges are put together from their totals. No task
+    sorts all scores. The input is read twice, so it should be a table at rest.
     """
     y = F.col(label)
     per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
@@ -104,7 +105,7 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
     )
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / ranges for i in range(1, ranges)] or [0.5]
-    inner = sorted(set(per_score.approxQuantile("s", steps, 0.1 / ranges)))
+    inner = sorted(set(df.select(F.col(score).cast("double").alias("s")).approxQuantile("s", steps, 0.5 / ranges)))
     splits = [float("-inf"), *inner, float("inf")]
     ranged = (
         Bucketizer(splits=splits, inputCol="s", outputCol="range").transform(per_score)

@@ -24,8 +24,11 @@ from riskloom.functions.hashing import below, order_hash, uniform
 from riskloom.session import at_rest
 from riskloom.schemas import LIVE_DRAWS, LIVE_MISSING_RATE, NUM_FOLDS, SEED, TARGET, TEST_FRACTION
 
-# Longest hex prefix used for buckets, so a table with a row per bucket stays small.
-MAX_BUCKET_DIGITS = 4
+# Hex digits by which buckets are told apart: 4096 of them where ranks are looked for, in
+# buckets within buckets while they hold many rows, and 65,536 where single rows are drawn.
+DIGITS, DRAW_DIGITS, ALL_DIGITS = 3, 4, 32
+# A bucket with at most this many rows is ordered by full hash in one task.
+ROWS_PER_TASK = 1_000_000
 # Copies written out by one task when a group of equal rows has to be divided.
 COPIES_PER_TASK = 1_000_000
 
@@ -33,24 +36,18 @@ Cuts = dict[Any, list[int]]
 
 
 @dataclass(frozen=True)
-class Threshold:
-    """Where rank ``rank`` of a stratum lies: ``ties`` rows hash to ``at``, ``before`` rows below it."""
+class Spot:
+    """Where rank ``rank`` of a stratum lies: ``n`` rows have hashes beginning with ``prefix``, ``before`` come earlier."""
 
     stratum: Any
     rank: int
-    at: str
+    prefix: str
     before: int
-    ties: int
+    n: int
 
     @property
     def splits_copies(self) -> bool:
-        return self.rank < self.before + self.ties
-
-
-def bucket_digits(df: DataFrame) -> int:
-    """Hex digits that give several buckets for each shuffle partition of the session."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKET_DIGITS, math.ceil(math.log(4 * width, 16))))
+        return self.rank < self.before + self.n
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -75,88 +72,88 @@ def assign_segments(
 
     ``cuts`` gets the row count of every stratum and returns ascending ranks for each.
     Strata are the few classes of a label; rows without one are left out. The input is
-    read three times, so it should be a table at rest.
+    read once more per level of buckets (two for up to four billion rows a stratum, and
+    one for each further 4096-fold) and once for the result, so it should be a table at rest.
     """
-    digits = bucket_digits(df)
     rows = df.where(F.col(strata).isNotNull())
-    hashed = rows.select(strata, order_hash(key, seed).alias("_hash"))
-    hist = (
-        hashed.groupBy(strata, F.substring("_hash", 1, digits).alias("_bucket"))
-        .agg(F.count("*").alias("n"))
-        .persist()
-    )
+    hashed = rows.select(F.col(strata).alias("_stratum"), order_hash(key, seed).alias("_hash"))
+    counts = _count_prefixes(hashed, DIGITS).persist()
     try:
-        sizes = {r[strata]: r["n"] for r in hist.groupBy(strata).agg(F.sum("n").alias("n")).collect()}
+        sizes = {r["_stratum"]: r["n"] for r in counts.groupBy("_stratum").agg(F.sum("n").alias("n")).collect()}
         wanted = cuts(sizes)
-        inner = [
-            (s, c) for s, ranks in wanted.items() for c in ranks if 0 < c < sizes.get(s, 0)
+        whole = [
+            Spot(s, c, "", 0, sizes[s]) for s, ranks in wanted.items() for c in ranks if 0 < c < sizes.get(s, 0)
         ]
-        spots = _running(hist, [strata], "_bucket").where(
-            _any([(F.col(strata) == s) & (F.col("before") < c) & (F.col("before") + F.col("n") >= c)
-                  for s, c in inner])
-        ).collect() if inner else []
+        spots = _narrow(counts, whole)
     finally:
-        hist.unpersist()
+        counts.unpersist()
+    # After three levels only copies, which are summed up anyway, can still fill a bucket.
+    while any(s.n > ROWS_PER_TASK for s in spots) and len(spots[0].prefix) < 3 * DIGITS:
+        spots = _narrow(_count_prefixes(_within(hashed, spots), len(spots[0].prefix) + DIGITS), spots)
+    if spots:
+        spots = _narrow(_count_prefixes(_within(hashed, spots), ALL_DIGITS), spots)
 
-    thresholds = _thresholds(hashed, strata, digits, spots, inner)
     hash_value = order_hash(key, seed)
-    steps = [
-        F.when((F.col(strata) == t.stratum) & (hash_value > t.at), 1).otherwise(0)
-        for t in thresholds
-    ]
+    steps = [F.when((F.col(strata) == t.stratum) & (hash_value > t.prefix), 1).otherwise(0) for t in spots]
     # A cut at 0 puts every row of the stratum past it; one at the full size none.
     steps += [
         F.when(F.col(strata) == s, 1).otherwise(0) for s, ranks in wanted.items() for c in ranks if c <= 0
     ]
     numbered = rows.withColumn(into, reduce(lambda a, b: a + b, steps, F.lit(0)))
-    divided = {(t.stratum, t.at) for t in thresholds if t.splits_copies}
+    divided = sorted({(t.stratum, t.prefix) for t in spots if t.splits_copies})
     if not divided:
         return numbered
-    shared = _any([(F.col(strata) == s) & (hash_value == h) for s, h in sorted(divided)])
+    shared = _any([(F.col(strata) == s) & (hash_value == h) for s, h in divided])
     parts = [numbered.where(~shared)]
-    for s, h in sorted(divided):
+    for s, h in divided:
         tied = rows.where((F.col(strata) == s) & (hash_value == h))
-        here = [t for t in thresholds if (t.stratum, t.at) == (s, h) and t.splits_copies]
+        here = [t for t in spots if (t.stratum, t.prefix) == (s, h) and t.splits_copies]
         first = sum(1 for c in wanted[s] if c <= here[0].before)
         ranks = [t.rank - t.before for t in here]
         if set(key) >= set(df.columns):
             part = _divide_copies(tied, ranks, into)
         else:
             # Rows alike in the key but perhaps not elsewhere: order them by the whole row.
-            part = assign_segments(tied, strata, lambda _: {s: ranks}, df.columns, seed, into)
+            part = assign_segments(tied, strata, lambda _, s=s, ranks=ranks: {s: ranks}, df.columns, seed, into)
         parts.append(part.withColumn(into, F.col(into) + first))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _thresholds(
-    hashed: DataFrame, strata: str, digits: int, spots: Sequence, inner: Sequence[tuple[Any, int]]
-) -> list[Threshold]:
-    """Look into the buckets that hold a cut; at most one row per cut comes back."""
+def _count_prefixes(hashed: DataFrame, digits: int) -> DataFrame:
+    """Rows per stratum and hash prefix. Copies of a row are summed up before the shuffle."""
+    return hashed.groupBy("_stratum", F.substring("_hash", 1, digits).alias("_prefix")).agg(F.count("*").alias("n"))
+
+
+def _within(hashed: DataFrame, spots: Sequence[Spot]) -> DataFrame:
+    places = {(s.stratum, s.prefix) for s in spots}
+    return hashed.where(_any([(F.col("_stratum") == s) & F.col("_hash").startswith(p) for s, p in sorted(places)]))
+
+
+def _narrow(counts: DataFrame, spots: Sequence[Spot]) -> list[Spot]:
+    """Find each spot's rank among the longer prefixes counted inside it; one row per spot comes back."""
     if not spots:
         return []
-    bucket = F.substring("_hash", 1, digits)
-    base = reduce(
+    length = len(spots[0].prefix)
+    begun = reduce(
         lambda rest, s: F.when(
-            (F.col(strata) == s[strata]) & (F.col("_bucket") == s["_bucket"]), s["before"]
+            (F.col("_stratum") == s.stratum) & F.col("_prefix").startswith(s.prefix), s.before
         ).otherwise(rest),
         spots,
         F.lit(None).cast("long"),
     )
-    picked = (
-        hashed.where(_any([(F.col(strata) == s[strata]) & (bucket == s["_bucket"]) for s in spots]))
-        .groupBy(strata, bucket.alias("_bucket"), "_hash")
-        .agg(F.count("*").alias("n"))
-    )
-    placed = _running(picked, [strata, "_bucket"], "_hash").withColumn("before", F.col("before") + base)
-    found = placed.where(
-        _any([(F.col(strata) == s) & (F.col("before") < c) & (F.col("before") + F.col("n") >= c)
-              for s, c in inner])
-    ).collect()
+    running = _running(
+        counts.withColumn("_outer", F.substring("_prefix", 1, length)), ["_stratum", "_outer"], "_prefix"
+    ).withColumn("before", F.col("before") + begun)
+
+    def holds(s: Spot) -> Column:
+        return (F.col("_stratum") == s.stratum) & (F.col("before") < s.rank) & (F.col("before") + F.col("n") >= s.rank)
+
+    found = running.where(_any([holds(s) for s in spots])).collect()
     return [
-        Threshold(r[strata], c, r["_hash"], r["before"], r["n"])
+        Spot(s.stratum, s.rank, r["_prefix"], r["before"], r["n"])
+        for s in spots
         for r in found
-        for s, c in inner
-        if s == r[strata] and r["before"] < c <= r["before"] + r["n"]
+        if r["_stratum"] == s.stratum and r["before"] < s.rank <= r["before"] + r["n"]
     ]
 
 
@@ -246,13 +243,12 @@ def bootstrap(df: DataFrame, key: Sequence[str], draws: int = LIVE_DRAWS, seed:
     rank span, where the row last begun at or before the drawn rank is the one drawn.
     """
     spark = df.sparkSession
-    digits = bucket_digits(df)
-    bucket = F.substring(order_hash(key, seed), 1, digits)
+    bucket = F.substring(order_hash(key, seed), 1, DRAW_DIGITS)
     hist = at_rest(df.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("n")), "buckets")
     rows = hist.agg(F.sum("n")).first()[0]
     if not rows:
         raise ValueError("There are no rows to draw from.")
-    span = max(1, rows // 16**digits)
+    span = max(1, rows // 16**DRAW_DIGITS)
     offsets = _running(hist, [], "_bucket")
 
     drawn = spark.range(draws).select(
@@ -263,7 +259,7 @@ def bootstrap(df: DataFrame, key: Sequence[str], draws: int = LIVE_DRAWS, seed:
     def cells(first: Column, n: Column) -> Column:
         return F.sequence(F.floor(first / span), F.floor((first + n - 1) / span))
 
-    # At most two rows for each of the 16**digits buckets, and one draw is enough to keep a bucket.
+    # At most two rows for each of the 16**DRAW_DIGITS buckets, and one draw is enough to keep a bucket.
     spots = offsets.withColumn("_cell", F.explode(cells(F.col("before"), F.col("n"))))
     hit = (
         drawn.join(F.broadcast(spots), "_cell")

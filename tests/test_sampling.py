@@ -31,6 +31,14 @@ def test_take_first_is_the_head_of_the_hash_order(spark):
     assert taken.where("y = 1").count() == 700
 
 
+def test_buckets_within_buckets_find_the_same_rows(spark, monkeypatch):
+    df = numbers(spark, 3000, 0)
+    one_level = sorted(sampling.assign_folds(df, ["id"], "y", 4).collect())
+    monkeypatch.setattr(sampling, "ROWS_PER_TASK", 1)
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    assert sorted(sampling.assign_folds(df, ["id"], "y", 4).collect()) == one_level
+
+
 def test_sample_is_a_filter_without_shuffle(spark, tmp_path):
     numbers(spark, 2000, 500).write.parquet(str(tmp_path / "t"))
     taken = sampling.take_first(spark.read.parquet(str(tmp_path / "t")), "y", lambda n: {0: n[1]}, ["id"])
@@ -96,6 +104,7 @@ def test_copies_are_divided_exactly(spark, copies, share):
 
 def test_a_third_of_all_rows_are_copies(spark, monkeypatch):
     monkeypatch.setattr(sampling, "COPIES_PER_TASK", 1000)
+    monkeypatch.setattr(sampling, "ROWS_PER_TASK", 2)
     hot = spark.range(10_000).select(F.lit(-1).cast("long").alias("id"), F.lit(0).alias("y"))
     df = numbers(spark, 20_000, 0).unionByName(hot)
     folded = sampling.assign_folds(df, ["id"], "y", 5)
