@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from riskloom.operators.model import ForestSettings
 from riskloom.plans import stages
 from riskloom.session import build_session
 
@@ -17,18 +18,29 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--stage", action="append", choices=STAGES, required=True, help="may be given several times")
     parser.add_argument("--csv", help="raw CSV for the ingest stage")
     parser.add_argument("--master", help="only for trying out; spark-submit sets it otherwise")
+    how = stages.Settings()
+    parser.add_argument("--run-name", default=how.run_name)
+    parser.add_argument("--seed", type=int, default=how.seed)
+    parser.add_argument("--test-fraction", type=float, default=how.test_fraction)
+    parser.add_argument("--folds", type=int, default=how.folds)
+    parser.add_argument("--trees", type=int, default=how.forest.trees)
+    parser.add_argument("--depth", type=int, default=how.forest.depth)
     args = parser.parse_args(argv)
     if "ingest" in args.stage and not args.csv:
         parser.error("--stage ingest needs --csv")
     spark = build_session("address-risk", args.master)
     at = stages.Layout(args.root)
+    how = stages.Settings(
+        seed=args.seed, test_fraction=args.test_fraction, folds=args.folds, run_name=args.run_name,
+        forest=ForestSettings(args.trees, args.depth, args.seed),
+    )
     run = {
         "ingest": lambda: stages.ingest(spark, at, args.csv),
-        "preprocess": lambda: stages.preprocess_stage(spark, at),
+        "preprocess": lambda: stages.preprocess_stage(spark, at, how),
         "features": lambda: stages.feature_stage(spark, at),
-        "training": lambda: stages.training_stage(spark, at).summary.show(truncate=False),
-        "live": lambda: stages.live_stage(spark, at),
-        "drift": lambda: stages.drift_stage(spark, at).show(truncate=False),
+        "training": lambda: stages.training_stage(spark, at, how).summary.show(truncate=False),
+        "live": lambda: stages.live_stage(spark, at, how),
+        "drift": lambda: stages.drift_stage(spark, at, how).show(truncate=False),
     }
     for stage in STAGES:
         if stage in args.stage:

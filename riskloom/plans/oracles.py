@@ -266,8 +266,9 @@ ALL: dict[str, str] = {}
 ALL["csv_ingest"] = f"WITH {ADDR} SELECT * REPLACE (CAST(address AS VARCHAR) AS address) FROM addr"
 
 ALL["live_json"] = f"""WITH {DIRTY}
-SELECT CAST(make_date(year, 1, 1) AS TIMESTAMP) AS timestamp, income, CAST(neighbors AS DOUBLE) AS neighbors, weight
-FROM addr_dirty WHERE year IS NOT NULL"""
+SELECT CAST(make_date(coalesce(year, 2009), 1, 1) AS TIMESTAMP) AS timestamp, income,
+  CAST(neighbors AS DOUBLE) AS neighbors, weight
+FROM addr_dirty"""
 
 ALL["clean_fill"] = f"WITH {DIRTY}, {filled('addr_dirty')} SELECT * EXCLUDE (address) FROM filled"
 
@@ -406,7 +407,7 @@ SELECT address, {_READ},
   CASE WHEN address % 31 = 0 THEN 'invalid_json' WHEN address % 7 = 0 THEN 'missing_fields' END AS reason
 FROM addr"""
 
-ALL["error_rate_alert"] = f"""WITH {LOG},
+EPISODES = """
 counted AS (
   SELECT source, date_trunc('hour', ts) AS w, count(*) AS requests, count(*) FILTER (is_error = 1) AS errors
   FROM log GROUP BY 1, 2
@@ -414,10 +415,30 @@ counted AS (
 breaching AS (
   SELECT *, w - to_hours(row_number() OVER (PARTITION BY source ORDER BY w)) AS island
   FROM counted WHERE errors / requests > 0.25
-)
-SELECT source, min(w) AS started, max(w) + INTERVAL 1 HOUR AS ended, count(*) AS windows,
-  CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(errors) AS BIGINT) AS errors
-FROM breaching GROUP BY source, island HAVING count(*) >= 3"""
+),
+episodes AS (
+  SELECT source, min(w) AS started, max(w) + INTERVAL 1 HOUR AS ended, count(*) AS windows,
+    CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(errors) AS BIGINT) AS errors
+  FROM breaching GROUP BY source, island HAVING count(*) >= 3
+)"""
+
+# Rows may come ten minutes late on the streams.
+WATERMARK = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM log)"
+
+ALL["error_rate_alert"] = f"WITH {LOG}, {EPISODES} SELECT * FROM episodes"
+
+ALL["stream_error_alert"] = f"""WITH {LOG}, {EPISODES}
+SELECT * FROM episodes WHERE ended + INTERVAL 1 HOUR + INTERVAL 1 MILLISECOND <= {WATERMARK}"""
+
+ALL["stream_down_alert"] = f"""WITH {LOG},
+healthy AS (
+  SELECT source, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY source ORDER BY ts) + INTERVAL 10 MINUTE
+    THEN 1 ELSE 0 END AS fresh
+  FROM log WHERE is_error = 0
+),
+sessions AS (SELECT *, sum(fresh) OVER (PARTITION BY source ORDER BY ts) AS session FROM healthy)
+SELECT source, min(ts) AS up_from, max(ts) AS down_from, count(*) AS samples
+FROM sessions GROUP BY source, session HAVING max(ts) + INTERVAL 10 MINUTE <= {WATERMARK}"""
 
 ALL["down_alert"] = f"""WITH {LOG},
 gaps AS (

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators import alerts, clean, drift, features, metrics, model, profile, requests, runs, sampling, zscore
 from riskloom.plans import stages
-from riskloom.schemas import DECISION_THRESHOLD, FEATURE_COLUMNS, MONITORED_FEATURES, NUM_FOLDS, TARGET
+from riskloom.schemas import DECISION_THRESHOLD, EPOCH_YEAR, FEATURE_COLUMNS, MONITORED_FEATURES, NUM_FOLDS, TARGET
 from riskloom.session import at_rest, new_path
 from riskloom.sources import star, tables
 from riskloom.streaming import monitor, scoring
@@ -56,8 +56,8 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live records with missing values out to JSON and in again."""
     path = new_path(spark, "live")
-    rows = star.addr_dirty(spark, sf_dir).where("year IS NOT NULL")
-    at = F.make_timestamp("year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("timestamp")
+    rows = star.addr_dirty(spark, sf_dir)
+    at = F.make_timestamp(F.coalesce("year", F.lit(EPOCH_YEAR)), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("timestamp")
     tables.write_live_json(rows.select(at, *MONITORED_FEATURES), path)
     return tables.read_live_json(spark, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
@@ -208,10 +208,15 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold_scores(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    folded = sampling.assign_folds(rows, ["id"], "y")
-    by_fold = folded.select("y", "pred", "fold", F.explode(F.sequence(F.lit(0), F.lit(NUM_FOLDS - 1))).alias("round"))
-    sided = by_fold.withColumn("split", F.when(F.col("round") == F.col("fold"), "test").otherwise("train"))
-    return metrics.scores_of(metrics.confusion(sided, ["round", "split"]), ["round", "split"])
+    """Scores per round and side: counted once per fold, then the few cells are shared out over the rounds."""
+    cells = metrics.confusion(sampling.assign_folds(rows, ["id"], "y"), ["fold"])
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(NUM_FOLDS - 1))).alias("round")
+    side = F.when(F.col("round") == F.col("fold"), "test").otherwise("train")
+    counts = ["tp", "fp", "fn", "tn"]
+    sided = cells.select("fold", *counts, rounds).withColumn("split", side).groupBy("round", "split").agg(
+        *[F.sum(c).alias(c) for c in counts]
+    )
+    return metrics.scores_of(sided, ["round", "split"])
 
 
 def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +264,7 @@ def down_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _untimed(df: DataFrame) -> DataFrame:
     """Window bounds without zone, as the input tables have them."""
-    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).drop("window_end")
+    return _unzoned(df, "window_start").drop("window_end")
 
 
 def stream_request_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +275,22 @@ def stream_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_untimed(monitor.latency_windows(star.event_stream(spark, sf_dir), "1 hour")))
 
 
+def stream_error_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes that the watermark has passed at the end of the stream."""
+    stream = monitor.error_alert_stream(star.event_stream(spark, sf_dir), "1 hour", 0.25, "3 hours")
+    return _unzoned(monitor.collect_settled(stream, "error-alerts"), "started", "ended")
+
+
+def stream_down_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quiet sources that the watermark has passed at the end of the stream."""
+    stream = monitor.down_alert_stream(star.event_stream(spark, sf_dir), "10 minutes")
+    return _unzoned(monitor.collect_settled(stream, "down-alerts"), "up_from", "down_from")
+
+
+def _unzoned(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
 def _stream_of(df: DataFrame, name: str) -> DataFrame:
     """Stage a derived table and read it as a stream of files."""
     path = new_path(df.sparkSession, name)
@@ -330,7 +351,7 @@ ALL: dict[str, Query] = {
         confusion_report, roc_auc, cv_summary, test_summary,
         request_counters, latency_histogram, current_run, request_validation,
         error_rate_alert, down_alert,
-        stream_request_metrics, stream_latency_histogram, stream_drift,
+        stream_request_metrics, stream_latency_histogram, stream_error_alert, stream_down_alert, stream_drift,
         rf_scores, rf_cross_validate, stream_scores,
     )
 }

@@ -12,7 +12,7 @@ from riskloom.operators.drift import bin_live, count_bins, score_bins
 from riskloom.operators.metrics import latency_aggregates, latency_rows, request_aggregates
 from riskloom.schemas import ERROR_RATIO, MONITORED_FEATURES
 from riskloom.session import new_path
-from riskloom.streaming.sinks import latest, start_versions
+from riskloom.streaming.sinks import latest, start_appends, start_versions
 
 # How late a row may be. Later ones are dropped from windows and alerts.
 LATENESS = "10 minutes"
@@ -69,6 +69,14 @@ def collect_windows(stream: DataFrame, keys: Sequence[str], name: str) -> DataFr
     return latest(spark, path, stream.schema, keys)
 
 
+def collect_settled(stream: DataFrame, name: str) -> DataFrame:
+    """Run an append-mode stream over the data at hand and read what the watermark has passed."""
+    spark = stream.sparkSession
+    path = new_path(spark, name)
+    start_appends(stream, path).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).drop("batch")
+
+
 def request_windows(log: DataFrame, width: str = "1 minute", lateness: str = LATENESS) -> DataFrame:
     return collect_windows(windowed_requests(log, width, lateness), ["window_start", "window_end"], "request-windows")
 

@@ -70,13 +70,11 @@ def test_cross_validation_trains_without_the_held_out_fold(table):
     assert sum(v for (_, s), v in scores.items() if s == "test") / 3 < 0.75
 
 
-def test_stages_from_csv_to_drift(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(m.ForestSettings, "__init__", lambda self, *a, **k: [object.__setattr__(self, n, v) for n, v in
-                        dict(trees=3, depth=4, seed=42, max_bins=32, node_memory_mb=256).items()] and None)
+def test_stages_from_csv_to_drift(spark, tmp_path):
     root, csv = str(tmp_path / "root"), str(tmp_path / "csv")
     star.raw(spark, "/root/testdata/sf0.001").write.option("header", True).csv(csv)
     everything = [x for s in jobs.STAGES for x in ("--stage", s)]
-    jobs.main(["--root", root, "--csv", csv, *everything])
+    jobs.main(["--root", root, "--csv", csv, "--trees", "3", "--depth", "4", *everything])
     at = stages.Layout(root)
     features = tables.read_table(spark, at.at("features"))
     assert set(features.columns) == {TARGET, *FEATURE_COLUMNS}
