@@ -101,7 +101,7 @@ def zscore_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fitted(spark: SparkSession, rows: DataFrame) -> DataFrame:
     path = new_path(spark, "state")
-    tables.save_state(at_rest(zscore.fit_state(rows), "fitted"), path)
+    tables.save_state(zscore.fit_state(rows), path)
     return tables.load_state(spark, path)
 
 
@@ -326,7 +326,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as a stream: rejected with a reason, or scored with the current run's model."""
     stateless = features.add_stateless(balanced(spark, sf_dir))
     state_path, model_path, log_path = (new_path(spark, n) for n in ("state", "model", "run-log"))
-    tables.save_state(at_rest(zscore.fit_state(stateless), "fitted"), state_path)
+    tables.save_state(zscore.fit_state(stateless), state_path)
     table = zscore.apply_state(stateless, tables.load_state(spark, state_path))
     tables.save_model(model.fit(table, FEATURE_COLUMNS), model_path)
     ended = spark.range(1).select(F.current_timestamp()).first()[0]

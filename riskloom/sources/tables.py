@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.zscore import NOT_FITTED
 from riskloom.schemas import LIVE, PROFILE, RAW, RUN_LOG, STATE
+from riskloom.session import at_rest
 
 # Names under which an exported index column appears.
 INDEX_COLUMNS = ["_c0", "Unnamed: 0"]
@@ -70,11 +71,12 @@ def newest_first(live: DataFrame) -> DataFrame:
 
 
 def save_state(state: DataFrame, path: str) -> None:
-    """Write a fitted state; refuse one without global and yearly rows."""
-    scopes = {r["scope"] for r in state.select("scope").distinct().collect()}
+    """Write a fitted state, computed once; refuse one without global and yearly rows."""
+    fitted = at_rest(state.select(*STATE.names), "fitted")
+    scopes = {r["scope"] for r in fitted.select("scope").distinct().collect()}
     if scopes != {"global", "year"}:
         raise RuntimeError(NOT_FITTED)
-    write_table(state.select(*STATE.names), path)
+    write_table(fitted, path)
 
 
 def load_state(spark: SparkSession, path: str) -> DataFrame:

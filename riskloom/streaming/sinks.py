@@ -42,6 +42,6 @@ def start_appends(stream: DataFrame, path: str, **how) -> StreamingQuery:
 def latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
     """The newest version of every group written by ``start_versions``."""
     values = [c for c in schema.names if c not in keys]
-    written = spark.read.schema(schema).option("basePath", path).option("recursiveFileLookup", False).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
     newest = F.max_by(F.struct(*values), F.col("batch")).alias("newest")
     return written.groupBy(*keys).agg(newest).select(*keys, "newest.*")

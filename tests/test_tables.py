@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.schemas import FEATURE_COLUMNS, RAW
 from riskloom.sources import tables
 
-ROWS = "x1,2011,17,18,0.008333333333333333,1,0,2,100050000.0,princetonCerber\nx2,2016,132,44,0.0002,1,0,1,1e8,white\n"
+ROWS = "x1,2011,19,6,0.0078125,1,0,3,250000000.5,familyA\nx2,2016,132,44,0.0002,1,0,1,1e8,white\n"
 HEADER = "address,year,day,length,weight,count,looped,neighbors,income,label\n"
 
 
@@ -18,8 +18,8 @@ def write(tmp_path, text, name="raw.csv"):
 def test_csv_by_name(spark, tmp_path):
     rows = tables.read_raw_csv(spark, write(tmp_path, HEADER + ROWS)).collect()
     assert rows[0].asDict() == {
-        "address": "x1", "year": 2011, "day": 17, "length": 18, "weight": 0.008333333333333333, "count": 1,
-        "looped": 0, "neighbors": 2, "income": 100050000.0, "label": "princetonCerber",
+        "address": "x1", "year": 2011, "day": 19, "length": 6, "weight": 0.0078125, "count": 1,
+        "looped": 0, "neighbors": 3, "income": 250000000.5, "label": "familyA",
     }
 
 
