@@ -31,4 +31,25 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN target > 0 THEN size *
 FROM q CROSS JOIN k
 """
 
-ALL: dict[str, str] = {"op4_exact_dedup": EXACT_DEDUP, "op8_source_mixing": SOURCE_MIXING}
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT item_id, least(13, len(w)) AS k, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM b WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM p),
+s AS (SELECT r, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM q) WHERE len(w) >= k),
+g AS (SELECT r, k, i, array_to_string(w[i : i + k - 1], ' ') AS g FROM s),
+h AS (SELECT g.r, g.k, g.i, q.item_id FROM g JOIN q ON g.k = q.k AND g.g = q.g),
+c AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, i, k FROM h)) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)
+"""
+
+ALL: dict[str, str] = {
+    "op10_decontamination": DECONTAMINATION,
+    "op4_exact_dedup": EXACT_DEDUP,
+    "op8_source_mixing": SOURCE_MIXING,
+}

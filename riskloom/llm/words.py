@@ -87,11 +87,11 @@ class Piece:
         return b" ".join(blob[a:b].tobytes() for a, b in zip(s, e))
 
 
-def gram_hash(words: list[bytes]) -> int:
-    """The hash that ``Piece.grams`` gives a run of these words."""
-    column = pa.array([b" ".join(words).decode()])
-    (piece,) = pieces(column)
-    return int(piece.grams(len(words))[1][0])
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """The hashes that pieces give these words."""
+    sizes = np.array([len(w) for w in words])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    return _piece(0, len(words), np.frombuffer(b"".join(words), np.uint8), bounds, SOLID, False).hash
 
 
 def pieces(column: pa.Array, kind: np.ndarray = SOLID, lower: bool = False) -> Iterator[Piece]:
