@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontamination, exact_dedup, mixing
+from riskloom.llm import decontamination, exact_dedup, minhash, mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,12 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), k=4)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_exact_dedup, op8_source_mixing, op10_decontamination)}
+ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_exact_dedup, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}
