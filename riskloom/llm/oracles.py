@@ -48,7 +48,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents),
+s AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+g AS (SELECT r, doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS g FROM s),
+m AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g),
+h AS (SELECT r, i FROM g JOIN m USING (g) WHERE low < doc_id),
+c AS (SELECT r, list(DISTINCT j) AS gone FROM (SELECT r, unnest(range(i, i + 13)) AS j FROM h) GROUP BY r),
+k AS (SELECT d.r, string_agg(word, ' ' ORDER BY j) AS kept FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) d
+  LEFT JOIN c ON c.r = d.r WHERE c.r IS NULL OR NOT list_contains(gone, j) GROUP BY d.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
+"""
+
 ALL: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRING_DEDUP,
     "op10_decontamination": DECONTAMINATION,
     "op4_exact_dedup": EXACT_DEDUP,
     "op8_source_mixing": SOURCE_MIXING,

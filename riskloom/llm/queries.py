@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontamination, exact_dedup, minhash, mixing
+from riskloom.llm import decontamination, exact_dedup, minhash, mixing, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -29,4 +33,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_exact_dedup, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}
+ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_substring_dedup, op4_exact_dedup, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}
