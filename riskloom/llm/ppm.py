@@ -1,10 +1,10 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
 A text is its lower-case words, each followed by a blank, the last by an end mark; a text without words is an end mark
-alone. The model is a trie of the byte contexts of up to ``ORDER`` bytes of all training texts. A byte seen in the
-longest context has the probability n / (T + D), for T bytes and D distinct ones seen there; one that was not seen
-pays the escape D / (T + D) and is looked for in the next shorter context, with the bytes that the longer one
-had excluded from its counts; below the empty context all bytes left are equally likely. The trie is counted by Spark (counts
+alone. The model is a trie of the byte contexts of up to ``ORDER`` bytes of all training texts. A byte seen n times in
+the longest context has the probability (2n - 1) / 2T, for T bytes and D distinct ones seen there; one that was not seen
+pays the escape D / 2T and is looked for in the next shorter context, with the bytes of the longer one
+excluded from its counts; below the empty context all bytes left are equally likely. The trie is counted by Spark (counts
 of ``ORDER + 1`` bytes, merged in each task before the shuffle) and sent to the tasks in slices of at most ``NODES``
 entries, cut by the last two context bytes, so that each byte is scored in one slice; shorter contexts are sums of
 longer ones. Beside it, word counts give a unigram score: words up to ``NODES`` of them, the most frequent, are
@@ -145,7 +145,7 @@ class HashIndex:
 
 @dataclass
 class Level:
-    """Counts of one order: entries (context and byte), and per context the logs of totals and escapes.
+    """Weights 2n - 1 of one order: entries (context and byte), and per context the logs of totals and escapes.
 
     ``total`` and ``escape`` hold for a context reached first; ``under_total`` and ``under_escape`` for the next
     shorter context after an escape from this one, without the bytes seen here.
@@ -172,7 +172,7 @@ class Ppm:
         for k in range(ORDER, -1, -1):
             part = pairs if k == 1 else part
             part = _merged([(part[0] & np.uint64((1 << 8 * (k + 1)) - 1), part[1])])
-            tables.append(part)
+            tables.append((part[0], 2 * part[1] - 1))
         self.levels = []
         for k, (keys, n) in enumerate(tables):
             contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
