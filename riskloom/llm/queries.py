@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontamination, exact_dedup, minhash, mixing, ppm, substrings
+from riskloom.llm import decontamination, exact_dedup, minhash, mixing, ppm, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"))
 
@@ -37,4 +41,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_substring_dedup, op4_exact_dedup, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}
+ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_substring_dedup, op4_exact_dedup, op6_toxicity, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}

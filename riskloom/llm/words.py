@@ -65,6 +65,7 @@ class Piece:
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -81,6 +82,13 @@ class Piece:
         at = np.flatnonzero(self.row[:n] == self.row[k - 1 :])
         return at, mix(h[at])
 
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of more than ``size`` bytes, and the hashes of their first ``size`` bytes."""
+        at = np.flatnonzero(self.end - self.start > size)
+        start = self.start[at]
+        h = (self.sums[start + size] - self.sums[start]) * _power("down", len(self.data) + 1)[start]
+        return at, mix(h + np.uint64(size))
+
     def text(self, first: int, last: int) -> bytes:
         """The words ``first`` to ``last`` (exclusive) as they stand, joined by one blank."""
         blob, s, e = self.data, self.start[first:last], self.end[first:last]
@@ -127,4 +135,4 @@ def _piece(lo: int, hi: int, data: np.ndarray, bounds: np.ndarray, kind: np.ndar
     np.cumsum(_BYTE[data] * _power("up", n), dtype=np.uint64, out=sums[1:])
     h = mix((sums[end] - sums[start]) * _power("down", n + 1)[start] + (end - start).astype(np.uint64))
     first = np.searchsorted(row, np.arange(hi - lo + 1), "left")
-    return Piece(lo, hi, data, bounds, row, start, end, h, first)
+    return Piece(lo, hi, data, bounds, row, start, end, h, first, sums)
