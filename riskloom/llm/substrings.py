@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import words
-from riskloom.session import at_rest
+from riskloom.session import BROADCAST_ROWS, at_rest
 
 WINDOW = 13
-ANCHOR = 4
+ANCHOR = 6
 HOT_DOCUMENTS = 64
 FILTER_BITS = 1 << 29
 BITS_PER_ANCHOR = 16
@@ -118,11 +118,10 @@ def segments(piece: words.Piece, window: int, anchor: int) -> tuple[np.ndarray,
 
 
 def anchors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """hash and doc_id of every distinct anchor of every document."""
+    """Hash of every distinct anchor of every document."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["doc_id"]
             for piece in words.pieces(batch["text"]):
                 h, begin, _ = segments(piece, window, anchor)
                 row = piece.row[begin]
@@ -130,9 +129,9 @@ def anchors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
                 h, row = h[order], row[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), ids.take(pa.array(row[new] + piece.lo))], ["hash", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64))], ["hash"])
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("string")).mapInArrow(step, "hash long, doc_id long")
+    return docs.where("doc_id IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(step, "hash long")
 
 
 def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
@@ -178,39 +177,59 @@ def passes(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
     return out
 
 
-TRAVEL = "key long, check long, doc_id long, tag long, begin long, words binary"
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first``, ``count`` of them."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(first) else first
 
 
-def travelling(docs: DataFrame, filters, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Segments of shared anchors with their words; windows of hot anchors with 128 bits of hash."""
+def _told_apart(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("string"))
+
+
+def shard_rows(docs: DataFrame, filters, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """Segments of shared anchors that are not hot, with their words."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, hot = filters.value
         for batch in batches:
             for piece in words.pieces(batch["text"]):
                 h, begin, count = segments(piece, window, anchor)
-                pick = passes(shared, h)
-                h, begin, count = h[pick], begin[pick], count[pick]
-                is_hot = passes(hot, h)
+                pick = np.flatnonzero(passes(shared, h))
+                pick = pick[~passes(hot, h[pick])]
+                begin, end = begin[pick], begin[pick] + count[pick] + window - 1
+                row = piece.row[begin]
+                rows = pa.array(row + piece.lo)
+                texts = [piece.text(b, e) for b, e in zip(begin.tolist(), end.tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(h[pick].view(np.int64)), batch["doc_id"].take(rows), batch["tag"].take(rows),
+                    pa.array(begin - piece.first[row]), pa.array(texts, pa.binary()),
+                ], ["key", "doc_id", "tag", "begin", "words"])
+
+    return _told_apart(docs).mapInArrow(step, "key long, doc_id long, tag long, begin long, words binary")
+
+
+def hot_windows(docs: DataFrame, filters, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """Windows of hot anchors with 128 bits of hash."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, hot = filters.value
+        for batch in batches:
+            for piece in words.pieces(batch["text"]):
+                h, begin, count = segments(piece, window, anchor)
+                pick = np.flatnonzero(passes(hot, h))
+                start = _ranges(begin[pick], count[pick])
                 at, key = piece.grams(window)
-                single = np.repeat(begin[is_hot] - np.concatenate([[0], np.cumsum(count[is_hot])[:-1]]), count[is_hot]) + np.arange(count[is_hot].sum()) if is_hot.any() else np.zeros(0, np.int64)
-                place = np.searchsorted(at, single)
-                second = np.zeros(len(single), np.uint64)
+                second = np.zeros(len(start), np.uint64)
                 for j in range(window):
-                    second = second * np.uint64(0x2545F4914F6CDD1D) + words.mix(piece.hash[single + j] + np.uint64(7))
-                cold = np.flatnonzero(~is_hot)
-                texts = [piece.text(b, b + c + window - 1) for b, c in zip(begin[cold].tolist(), count[cold].tolist())]
-                start = np.concatenate([begin[cold], single])
+                    second = second * np.uint64(0x2545F4914F6CDD1D) + words.mix(piece.hash[start + j] + np.uint64(7))
                 row = piece.row[start]
                 rows = pa.array(row + piece.lo)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([h[cold], key[place]]).view(np.int64)),
-                    pa.array(np.concatenate([np.zeros(len(cold), np.int64), words.mix(second).view(np.int64) | 1])),
-                    batch["doc_id"].take(rows), batch["tag"].take(rows),
-                    pa.array(start - piece.first[row]), pa.array(texts + [None] * len(single), pa.binary()),
-                ], ["key", "check", "doc_id", "tag", "begin", "words"])
+                    pa.array(key[np.searchsorted(at, start)].view(np.int64)), pa.array(words.mix(second).view(np.int64)),
+                    batch["doc_id"].take(rows), batch["tag"].take(rows), pa.array(start - piece.first[row]),
+                ], ["key", "check", "doc_id", "tag", "begin"])
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("string")).mapInArrow(step, TRAVEL)
+    return _told_apart(docs).mapInArrow(step, "key long, check long, doc_id long, tag long, begin long")
 
 
 def shard_spans(rows: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int, int]]:
@@ -254,7 +273,7 @@ def automaton_spans(cold: DataFrame, window: int = WINDOW) -> DataFrame:
             yield _span_batch(out)
         yield _span_batch(list(shard_spans(held, window)) if len(held) > 1 else [])
 
-    return cold.select("key", "doc_id", "tag", "begin", "words").repartition("key").sortWithinPartitions("key").mapInArrow(step, SPAN)
+    return cold.repartition("key").sortWithinPartitions("key").mapInArrow(step, SPAN)
 
 
 def _span_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
@@ -265,17 +284,14 @@ def _span_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, tag and the spans (word numbers) that a document with a smaller id has too."""
     spark = docs.sparkSession
-    shared = at_rest(
-        anchors(docs, window, anchor).groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
-        .where("low < high").select("hash", (F.col("n") > HOT_DOCUMENTS).alias("hot")), "anchors",
-    )
+    found = anchors(docs, window, anchor).groupBy("hash").count().where("count > 1")
+    shared = at_rest(found.select("hash", (F.col("count") > HOT_DOCUMENTS).alias("hot")), "anchors")
     bits = min(FILTER_BITS, max(1 << 16, BITS_PER_ANCHOR * shared.count()))
     filters = spark.sparkContext.broadcast(bit_filters(shared, bits))
-    moved = at_rest(travelling(docs, filters, window, anchor), "segments")
-    hot = moved.where("check <> 0").drop("words")
+    hot = at_rest(hot_windows(docs, filters, window, anchor), "hot-windows")
     first = hot.groupBy("key", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
     single = hot.join(first, ["key", "check"]).where("low < doc_id").select("doc_id", "tag", F.col("begin").alias("s"), (F.col("begin") + window).alias("e"))
-    return automaton_spans(moved.where("check = 0"), window).union(single)
+    return automaton_spans(shard_rows(docs, filters, window, anchor), window).union(single)
 
 
 def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataFrame:
@@ -302,9 +318,16 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataF
                 arrays += [pa.array(texts, pa.string())] if with_text else []
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: len(arrays)])
 
-    gathered = spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    gathered = at_rest(spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
     tagged = docs.select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("string"))
-    joined = tagged.join(gathered, ["doc_id", "tag"], "left")
+    many, same = gathered.count(), ["doc_id", "tag"]
+    none = F.lit(None).cast("array<struct<s:bigint,e:bigint>>")
+    if many <= BROADCAST_ROWS:  # then only the texts that change are moved
+        names = F.broadcast(gathered.select(*same))
+        joined = tagged.join(names, same, "left_semi").join(gathered, same, "left")
+        joined = joined.union(tagged.join(names, same, "left_anti").select("*", none.alias("spans")))
+    else:
+        joined = tagged.join(gathered, same, "left")
     return joined.select("doc_id", "text", F.col("spans.s").alias("begins"), F.col("spans.e").alias("ends")).mapInArrow(step, schema)
 
 
