@@ -1,6 +1,6 @@
 """Benchmark decontamination by FM-indexes of the training text.
 
-Every piece of the training text (about 2 MB) is a shard with an FM-index of its own over word numbers: suffix array,
+Every piece of the training text (about 1 MB) is a shard with an FM-index of its own over word numbers: suffix array,
 Burrows-Wheeler transform in a wavelet matrix, every eighth suffix position kept. All test windows are searched
 backwards at once; their occurrences are located by stepping to the next kept position, compared word for word,
 and merged into removal spans. Words that no test window has cannot lie in an occurrence, so runs of other words are

@@ -14,7 +14,7 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import at_rest, broadcast_if_small, new_path
@@ -76,7 +76,12 @@ def build_index(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row, dropped ones too.
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row, dropped ones too."""
+    return decide(docs, key, text, capacity).drop("hash")
+
+
+def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    """The groups, with the hash that each row has in the index.
 
     Of equal texts the row with the most code points stays, then the smallest id.
     """
@@ -90,11 +95,20 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     groups = first.join(chains, ["hash", "sha"], "left").select("bucket", "hash", "sha", "keep_id", F.coalesce("copies", F.lit(1).cast("bigint")).alias("group_size"))
     return index.join(groups, ["bucket", "hash", "sha"]).select(
         "doc_id", "keep_id", "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.col("sha").alias("text_sha256"),
+        (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.col("sha").alias("text_sha256"), "hash",
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with their columns; of rows with the same id and text, one."""
-    decided = exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(decided, docs["doc_id"].eqNullSafe(decided["doc_id"]), "left_semi")
+    """The rows that stay, with their columns; of repeated rows, one (the longest, then the first by text)."""
+    decided = decide(docs).where("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash")).count()
+    decided = at_rest(decided, "kept")
+    hashed = docs.withColumn("_text_hash", F.xxhash64(normalised()))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_text_hash") == F.col("kept_hash"))
+    out = hashed.join(decided.where("count = 1"), same, "left_semi")
+    repeated = decided.where("count > 1")
+    if not repeated.isEmpty():
+        place = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy(F.length("text").desc(), "text"))
+        more = hashed.join(repeated, same, "left_semi").withColumn("_place", place).where("_place = 1")
+        out = out.union(more.drop("_place"))
+    return out.drop("_text_hash")

@@ -7,7 +7,7 @@ pays the escape D / 2T and is looked for in the next shorter context, with the b
 excluded from its counts; below the empty context all bytes left are equally likely. The trie is counted by Spark (counts
 of ``ORDER + 1`` bytes, merged in each task before the shuffle) and sent to the tasks in slices of at most ``NODES``
 entries, cut by the last two context bytes, so that each byte is scored in one slice; shorter contexts are sums of
-longer ones. Beside it, word counts give a unigram score: words up to ``NODES`` of them, the most frequent, are
+longer ones. Beside it, word counts give a unigram score: up to ``VOCABULARY`` words, the most frequent, are
 sent to the tasks, rarer ones are joined.
 
 Defined results: a null text has no words; a null id is as an empty one when rows are dealt to training; repeated
@@ -32,8 +32,9 @@ from riskloom.llm import words
 from riskloom.session import at_rest
 
 ORDER = 5
-NODES = 6_000_000
-FLUSH = 3_000_000
+NODES = 4_000_000
+VOCABULARY = 3_000_000
+FLUSH = 1_000_000
 BLANK, END = 0x20, 0x0A
 GRAM, WORD = 0, 1
 _END_WORD = np.uint64(0)
@@ -95,7 +96,7 @@ def counts(training: DataFrame) -> DataFrame:
                     held[kind].append(np.unique(keys, return_counts=True))
                     if sum(len(k) for k, _ in held[kind]) > FLUSH:
                         held[kind] = [_merged(held[kind])]
-                if sum(len(k) for h in held for k, _ in h) > 2 * FLUSH:
+                if max(len(h[0][0]) for h in held) > FLUSH // 2:
                     yield from flush()
         yield from flush()
 
@@ -172,9 +173,10 @@ class Ppm:
         for k in range(ORDER, -1, -1):
             part = pairs if k == 1 else part
             part = _merged([(part[0] & np.uint64((1 << 8 * (k + 1)) - 1), part[1])])
-            tables.append((part[0], 2 * part[1] - 1))
+            tables.append((part[0], 2 * part[1].astype(np.int64) - 1))
         self.levels = []
         for k, (keys, n) in enumerate(tables):
+            n = n.astype(np.int64)
             contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
             distinct = np.diff(np.append(first, len(keys)))
             sums = np.add.reduceat(n, first) if len(first) else n
@@ -192,9 +194,11 @@ class Ppm:
                 keys, _log10(n), contexts, _log10(both), _log10(distinct) - _log10(both), _log10(under),
                 np.where(under_distinct > 0, _log10(under_distinct) - _log10(under), 0.0),
             ))
+            tables[k] = None if k == 0 else tables[k]
         top = self.levels[0]
         spread = np.repeat(top.total, np.diff(np.append(np.searchsorted(top.keys >> np.uint64(8), top.contexts), len(top.keys))))
         self.top = HashIndex(top.keys, (top.log_n - spread).astype(np.float32))
+        top.keys, top.log_n = top.keys[:0], top.log_n[:0]  # all that the index does not hold was not seen
         self.unseen = -math.log10(max(1, 256 - len(self.levels[-1].keys)))
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
@@ -212,9 +216,11 @@ class Ppm:
                 here = level.contexts[c] == key >> np.uint64(8)
                 fresh = here & np.isnan(total)
                 total[fresh], escape[fresh] = level.total[c[fresh]], level.escape[c[fresh]]
-                e = np.minimum(np.searchsorted(level.keys, key), len(level.keys) - 1)
-                hit = level.keys[e] == key
-                out[rest[hit]] += level.log_n[e[hit]] - total[hit]
+                hit = np.zeros(len(rest), bool)
+                if k:
+                    e = np.minimum(np.searchsorted(level.keys, key), len(level.keys) - 1)
+                    hit = level.keys[e] == key
+                    out[rest[hit]] += level.log_n[e[hit]] - total[hit]
                 lost = here & ~hit
                 out[rest[lost]] += escape[lost]
                 total = np.where(here, level.under_total[c], np.nan)[~hit]
@@ -246,7 +252,8 @@ def _loaded(sent) -> tuple:
 def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """key and n of a bounded table, sorted by key."""
     found = rows.select("key", "n").toArrow()
-    keys, n = np.asarray(found["key"]).view(np.uint64), np.asarray(found["n"]).astype(np.int64)
+    keys, n = np.asarray(found["key"]).view(np.uint64), np.asarray(found["n"])
+    n = n.astype(np.int32) if not len(n) or n.max() < 1 << 31 else n
     order = np.argsort(keys)
     return keys[order], n[order]
 
@@ -264,7 +271,7 @@ def byte_scores(batch: pa.RecordBatch, model: Ppm, number: int, slices: int) ->
         yield piece, sums[starts[1:]] - sums[starts[:-1]]
 
 
-def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES) -> DataFrame:
+def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES, vocabulary_size: int = VOCABULARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row."""
     spark = docs.sparkSession
     tagged = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tag"), held_out(fold, folds).alias("held_out"))
@@ -277,7 +284,7 @@ def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES) ->
     least, sum_ = 1, 0
     for row in levels:
         sum_ += row["count"]
-        if sum_ > nodes:
+        if sum_ > vocabulary_size:
             least = 1 << (row["l"] + 1)
             break
     frequent, rare = vocabulary.where(F.col("n") >= least), vocabulary.where(F.col("n") < least)

@@ -6,21 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontamination, exact_dedup, minhash, mixing, ppm, substrings, toxicity
+from riskloom.llm import decontamination, exact_dedup, html_text, licences, minhash, mixing, ppm, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,4 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_substring_dedup, op4_exact_dedup, op6_toxicity, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination)}
+ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction, op2_substring_dedup, op3_secret_scan, op4_exact_dedup, op5_license_scan,
+        op6_toxicity, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination,
+    )
+}

@@ -62,7 +62,7 @@ def plain_ppm(train):
 @pytest.mark.parametrize("nodes", [ppm.NODES, 20])
 def test_equals_plain(spark, nodes):
     rows = [(i, t, "src") for i, t in enumerate(TEXTS * 2)]
-    got = {r["doc_id"]: r for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string, tag string"), nodes=nodes).collect()}
+    got = {r["doc_id"]: r for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string, tag string"), nodes=nodes, vocabulary_size=nodes).collect()}
     train = [t for i, t, _ in rows if training(i, 2, 7)]
     tokens = Counter(w for t in train for w in [*words_of(t), ""])
     n, v, plain = sum(tokens.values()), len(tokens), plain_ppm(train)
@@ -83,7 +83,7 @@ def test_empty_table_and_no_training(spark):
 
 
 def test_null_id_and_repeated_rows(spark):
-    rows = ppm.score(spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b")], "doc_id long, text string"), nodes=3).collect()
+    rows = ppm.score(spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b")], "doc_id long, text string"), nodes=3, vocabulary_size=3).collect()
     assert len(rows) == 3 and len({(r["n_tokens"], r["n_known"], r["base_score"]) for r in rows}) == 1
 
 
