@@ -102,8 +102,8 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return _piece(0, len(words), np.frombuffer(b"".join(words), np.uint8), bounds, SOLID, False).hash
 
 
-def pieces(column: pa.Array, kind: np.ndarray = SOLID, lower: bool = False) -> Iterator[Piece]:
-    """Cut a text column into pieces; null is as empty."""
+def pieces(column: pa.Array, kind: np.ndarray = SOLID, lower: bool = False, limit: int | None = None) -> Iterator[Piece]:
+    """Cut a text column into pieces of ``limit`` bytes (``PIECE_BYTES``); null is as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -115,7 +115,7 @@ def pieces(column: pa.Array, kind: np.ndarray = SOLID, lower: bool = False) -> I
     whole = np.frombuffer(blob, np.uint8) if blob is not None and blob.size else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (limit or PIECE_BYTES), "right")) - 1)
         yield _piece(lo, hi, whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], kind, lower)
         lo = hi
 
