@@ -97,10 +97,12 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
     Rows are first summed per distinct score. The running count of negatives is then
     taken inside ranges between quantiles, so none holds many more distinct scores than
     its share of the rows, and the ranges are put together from their totals. No task
-    sorts all scores. The input is read twice, so it should be a table at rest.
+    sorts all scores. The input is read twice, so it should be a table at rest. Rows without a score
+    (null or NaN) rank nowhere and are left out.
     """
     y = F.col(label)
-    per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
+    df = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    per_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(y == 1).cast("double").alias("pos"), F.count_if(y == 0).cast("double").alias("neg")
     )
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -143,8 +145,10 @@ def test_summary(report: DataFrame, auc: DataFrame, folds: DataFrame) -> DataFra
         report.where(F.col("class").isin("accuracy", "1"))
         .select(F.when(F.col("class") == "1", "f1_positive").otherwise("accuracy").alias("name"), F.col("f1").alias("value"))
         .unionByName(auc.select(F.lit("roc_auc").alias("name"), F.col("roc_auc").alias("value")))
-        .unionByName(folds.where(held_out).select(F.lit("cv_test_f1_mean").alias("name"), F.col("mean").alias("value")))
-        .unionByName(folds.where(held_out).select(F.lit("cv_test_f1_std").alias("name"), F.col("std").alias("value")))
+        .unionByName(folds.where(held_out).select(F.inline(F.array(
+            F.struct(F.lit("cv_test_f1_mean").alias("name"), F.col("mean").alias("value")),
+            F.struct(F.lit("cv_test_f1_std").alias("name"), F.col("std").alias("value")),
+        ))))
     )
     names = ["accuracy", "roc_auc", "f1_positive", "cv_test_f1_mean", "cv_test_f1_std"]
     return pairs.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])

@@ -16,6 +16,7 @@ from riskloom.functions.binning import (
 )
 from riskloom.functions.features import present
 from riskloom.schemas import MONITORED_FEATURES
+from riskloom.session import at_rest
 
 
 def long_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -62,9 +63,10 @@ def summarise(df: DataFrame, features: Sequence[str] = tuple(MONITORED_FEATURES)
 def profile(df: DataFrame, features: Sequence[str] = tuple(MONITORED_FEATURES)) -> DataFrame:
     """The reference profile; a feature without any value has null histogram and moments.
 
-    Both broadcasts hold one row per feature in ``features``, however large the data.
+    Two passes over the data: one for the summary, written once and used twice, one for the bins. Both
+    broadcasts hold one row per feature in ``features``, however large the data.
     """
-    summary = summarise(df, features)
+    summary = at_rest(summarise(df, features), "profile-summary")
     ranges = summary.where("n > 0").select("feature", "lo", "hi", "num_bins")
     counts = (
         long_values(df, features)

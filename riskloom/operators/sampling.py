@@ -27,6 +27,8 @@ from riskloom.schemas import LIVE_DRAWS, LIVE_MISSING_RATE, NUM_FOLDS, SEED, TAR
 # Hex digits by which buckets are told apart: 4096 of them where ranks are looked for, in
 # buckets within buckets while they hold many rows, and 65,536 where single rows are drawn.
 DIGITS, DRAW_DIGITS, ALL_DIGITS = 3, 4, 32
+# Strata are counted on the driver; more of them than this are refused.
+MAX_STRATA = 1000
 # A bucket with at most this many rows is ordered by full hash in one task.
 ROWS_PER_TASK = 1_000_000
 # Copies written out by one task when a group of equal rows has to be divided.
@@ -71,7 +73,7 @@ def assign_segments(
     """Number the rows of each stratum by hash rank: 0 up to the first cut, 1 up to the second...
 
     ``cuts`` gets the row count of every stratum and returns ascending ranks for each.
-    Strata are the few classes of a label; rows without one are left out. The input is
+    Strata are the few classes of a label, ``MAX_STRATA`` at most; rows without one are left out. The input is
     read once more per level of buckets (two for up to four billion rows a stratum, and
     one for each further 4096-fold) and once for the result, so it should be a table at rest.
     """
@@ -79,7 +81,9 @@ def assign_segments(
     hashed = rows.select(F.col(strata).alias("_stratum"), order_hash(key, seed).alias("_hash"))
     counts = _count_prefixes(hashed, DIGITS).persist()
     try:
-        sizes = {r["_stratum"]: r["n"] for r in counts.groupBy("_stratum").agg(F.sum("n").alias("n")).collect()}
+        sizes = {r["_stratum"]: r["n"] for r in counts.groupBy("_stratum").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()}
+        if len(sizes) > MAX_STRATA:
+            raise ValueError(f"Column '{strata}' has more than {MAX_STRATA} values; strata are the few classes of a label.")
         wanted = cuts(sizes)
         whole = [
             Spot(s, c, "", 0, sizes[s]) for s, ranks in wanted.items() for c in ranks if 0 < c < sizes.get(s, 0)

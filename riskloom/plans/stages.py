@@ -1,4 +1,4 @@
-"""The batch stages, each from tables at rest to tables at rest."""
+"""The stages, each from tables at rest to tables at rest; the last two are streams."""
 
 from __future__ import annotations
 
@@ -15,10 +15,12 @@ from riskloom.operators.drift import drift
 from riskloom.operators.features import add_stateless, drop_unmodelled, feature_columns
 from riskloom.operators.model import ForestSettings, Trained, train
 from riskloom.operators.profile import profile
-from riskloom.operators.sampling import bootstrap, inject_missing
+from riskloom.operators.runs import resolve_run
 from riskloom.operators.zscore import apply_state, fit_state
-from riskloom.schemas import LIVE_DRAWS, LIVE_MISSING_RATE, MONITORED_FEATURES, NUM_FOLDS, RUN_NAME, SEED, TEST_FRACTION
+from riskloom.schemas import MONITORED_FEATURES, NUM_FOLDS, PREDICTION_LOG, RAW, RUN_NAME, SEED, TEST_FRACTION
 from riskloom.sources import tables
+from riskloom.streaming import monitor, scoring
+from riskloom.streaming.sinks import start_versions
 
 
 @dataclass(frozen=True)
@@ -38,8 +40,6 @@ class Settings:
     test_fraction: float = TEST_FRACTION
     folds: int = NUM_FOLDS
     features: Sequence[str] = tuple(MONITORED_FEATURES)
-    draws: int = LIVE_DRAWS
-    missing_rate: float = LIVE_MISSING_RATE
     run_name: str = RUN_NAME
     forest: ForestSettings = field(default_factory=ForestSettings)
 
@@ -49,25 +49,29 @@ def ingest(spark: SparkSession, at: Layout, csv_path: str) -> None:
 
 
 def preprocess_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> None:
-    raw = tables.read_table(spark, at.at("raw"))
+    raw = tables.read_table(spark, at.at("raw"), RAW)
     tables.write_table(preprocess(raw, how.key, how.seed), at.at("preprocessed"))
 
 
 def feature_stage(spark: SparkSession, at: Layout) -> None:
-    """Save the fitted state first, then join it back from rest: income and year are read twice, the rest once."""
+    """Save the fitted state first, then join it back from rest: income and year are read twice, the rest once.
+
+    The state lies beside the features it made; training copies it to the run, from where streams load it.
+    """
     stateless = add_stateless(tables.read_table(spark, at.at("preprocessed")))
-    tables.save_state(fit_state(stateless), at.at("state"))
-    featured = apply_state(stateless, tables.load_state(spark, at.at("state")))
+    tables.save_state(fit_state(stateless), at.at("features-state"))
+    featured = apply_state(stateless, tables.load_state(spark, at.at("features-state")))
     tables.write_table(drop_unmodelled(featured), at.at("features"))
 
 
 def training_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> Trained:
-    """Train, evaluate, and save model, metrics and reference profile; the run is logged last."""
+    """Train, evaluate, and save model, state, columns, metrics and profile under the run; it is logged last."""
+    run_id = uuid.uuid4().hex
+    of_run = Layout(at.at(f"runs/{run_id}"))
+    tables.save_state(tables.load_state(spark, at.at("features-state")), of_run.at("state"))
     features = tables.read_table(spark, at.at("features"))
     columns = feature_columns(features)
     trained = train(features, columns, columns, how.forest, how.test_fraction, how.folds, how.seed)
-    run_id = uuid.uuid4().hex
-    of_run = Layout(at.at(f"runs/{run_id}"))
     tables.save_columns(spark, columns, of_run.at("feature-columns"))
     tables.save_model(trained.model, of_run.at("model"))
     for name, table in {
@@ -75,30 +79,37 @@ def training_stage(spark: SparkSession, at: Layout, how: Settings = Settings())
     }.items():
         tables.write_table(table, of_run.at(name))
     reference = profile(tables.read_table(spark, at.at("preprocessed")), how.features)
-    tables.save_profile(reference, at.at("profile"))
+    tables.save_profile(reference, of_run.at("profile"))
     ended = datetime.now(timezone.utc)
-    tables.log_run(spark, at.at("run-log"), run_id, how.run_name, ended, of_run.at("model"))
+    paths = [of_run.at(x) for x in ("model", "state", "feature-columns", "profile")]
+    tables.log_run(spark, at.at("run-log"), run_id, how.run_name, ended, *paths)
     return trained
 
 
-def live_sample(preprocessed: DataFrame, key: Sequence[str], how: Settings = Settings()) -> DataFrame:
-    """Rows drawn with replacement as stand-in live traffic, some values missing."""
-    absent = [f for f in how.features if f not in preprocessed.columns]
-    if absent:
-        raise ValueError(f"Features {absent} are not in the preprocessed table.")
-    drawn = bootstrap(preprocessed, key, how.draws, how.seed)
-    return inject_missing(drawn.select("draw", *how.features), how.features, ["draw"], how.missing_rate, how.seed)
+def drift_stage(spark: SparkSession, at: Layout, live_path: str, how: Settings = Settings()) -> DataFrame:
+    """Compare given live records with the profile of the current run; the result is also written as a table."""
+    runs = tables.load_runs(spark, at.at("run-log"))
+    run_id = resolve_run(runs, how.run_name)
+    profile_path = runs.where(F.col("run_id") == run_id).first()["profile_path"]
+    found = drift(tables.load_profile(spark, profile_path), tables.read_live_json(spark, live_path), how.features)
+    tables.write_table(found, at.at("drift"))
+    return tables.read_table(spark, at.at("drift"))
 
 
-def live_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> None:
-    preprocessed = tables.read_table(spark, at.at("preprocessed"))
-    sample = live_sample(preprocessed, preprocessed.columns, how).drop("draw")
-    tables.write_live_json(sample.select(F.current_timestamp().alias("timestamp"), "*"), at.at("live"))
+def score_stage(spark: SparkSession, at: Layout, requests_path: str, how: Settings = Settings(), **trigger) -> None:
+    """Score JSON requests as they come, with the run that is current at each micro-batch."""
+    bodies = spark.readStream.text(requests_path).withColumnRenamed("value", "body")
+    artifacts = scoring.current_artifacts(spark, at.at("run-log"), how.run_name)
+    scoring.start_scoring(bodies, artifacts, at.at("scored"), at.at("rejected"), ["body"], **trigger).awaitTermination()
 
 
-def drift_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> DataFrame:
-    """Compare live records with the stored profile; the result is also written as a table."""
-    live = tables.read_live_json(spark, at.at("live"))
-    found = drift(tables.load_profile(spark, at.at("profile")), live, how.features)
-    tables.write_table(found, at.at("drift"))
-    return tables.read_table(spark, at.at("drift"))
+def monitor_stage(spark: SparkSession, at: Layout, log_path: str, **trigger) -> None:
+    """Request and latency windows, and the windows that alert states are read from."""
+    log = spark.readStream.schema(PREDICTION_LOG).parquet(log_path)
+    streams = {
+        "request-windows": monitor.windowed_requests(log), "latency-windows": monitor.windowed_latency(log),
+        "error-counts": monitor.windowed_errors(log), "sample-windows": monitor.windowed_samples(log),
+    }
+    running = [start_versions(stream, at.at(name), **trigger) for name, stream in streams.items()]
+    for query in running:
+        query.awaitTermination()

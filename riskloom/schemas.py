@@ -85,6 +85,9 @@ RUN_LOG = T.StructType([
     T.StructField("run_name", T.StringType()),
     T.StructField("end_time", T.TimestampType()),
     T.StructField("model_path", T.StringType()),
+    T.StructField("state_path", T.StringType()),
+    T.StructField("columns_path", T.StringType()),
+    T.StructField("profile_path", T.StringType()),
 ])
 
 PREDICTION_LOG = T.StructType([

@@ -63,6 +63,12 @@ def at_rest(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast when the counted size allows; otherwise leave the join to Spark.
 

@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def addr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw-shaped row per order with lines; ``address`` is the order key.
+    """One raw-shaped row per order, with zeros for one without lines; ``address`` is the order key.
 
     Lines are summed per order before the join. The distinct counts first reduce per
     (order, part or supplier), so an order holding very many lines is spread too.
@@ -39,7 +39,9 @@ def addr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderpriority"))
         .otherwise("white").alias("label"),
     )
-    return orders.join(lines, F.col("address") == F.col("l_orderkey")).select(
+    found = orders.join(lines, F.col("address") == F.col("l_orderkey"), "left")
+    found = found.fillna(0, ["length", "weight", "count", "suppliers", "neighbors"])
+    return found.select(
         "address", "year", "day", "length", "weight", "count",
         (F.col("count") - F.col("suppliers")).alias("looped"), "neighbors", "income", "label",
     )
@@ -66,6 +68,12 @@ def addr_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def addr_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``addr`` with a label that one feature decides, so that a fitted forest has a known answer."""
+    label = F.when(F.col("count") >= 5, "many-lines").otherwise("white")
+    return addr(spark, sf_dir).withColumn("label", label)
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with a score that is tied on many rows."""
     positive = (F.col("label") != "white").cast("int")
@@ -119,9 +127,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     income = F.when(every(7), None).when(every(11), '"income":null').otherwise(
         F.concat(F.lit('"income":'), F.col("income").cast("string"))
     )
-    extra = F.when(every(5), '"unknown_feature":123')
+    extra = F.when(every(5), '"memo":"m-7"')
     body = F.concat(F.lit("{"), F.concat_ws(",", *fields, income, extra), F.lit("}"))
-    return addr(spark, sf_dir).select("address", F.when(every(31), "not-json").otherwise(body).alias("body"))
+    return addr(spark, sf_dir).select("address", F.when(every(31), "<none>").otherwise(body).alias("body"))
 
 
 def live_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,9 +128,13 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def log_run(spark: SparkSession, path: str, run_id: str, run_name: str, end_time, model_path: str) -> None:
-    """Append one row to the run log."""
-    spark.createDataFrame([(run_id, run_name, end_time, model_path)], RUN_LOG).write.mode("append").parquet(path)
+def log_run(
+    spark: SparkSession, path: str, run_id: str, run_name: str, end_time, model_path: str, state_path: str,
+    columns_path: str, profile_path: str | None = None,
+) -> None:
+    """Append one row to the run log, after all that it names was written; none of it is ever overwritten."""
+    row = (run_id, run_name, end_time, model_path, state_path, columns_path, profile_path)
+    spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
 
 
 def load_runs(spark: SparkSession, path: str) -> DataFrame:

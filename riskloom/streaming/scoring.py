@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.operators.features import add_stateless
-from riskloom.operators.model import score
+from riskloom.operators.model import contract, score
 from riskloom.operators.requests import accepted, decode, rejected
 from riskloom.operators.runs import resolve_run
 from riskloom.operators.zscore import apply_state
-from riskloom.sources.tables import load_model, load_runs, load_state
-from riskloom.streaming.sinks import batch_path, start
+from riskloom.sources.tables import load_columns, load_model, load_runs, load_state
+from riskloom.streaming.sinks import batch_path, checkpoint_of, start
 
 
 def score_accepted(requests: DataFrame, state: DataFrame, model: PipelineModel, keep: Sequence[str]) -> DataFrame:
@@ -37,18 +37,25 @@ class Artifacts:
     run_id: str
     state: DataFrame
     model: PipelineModel
+    columns: tuple[str, ...]
 
 
-def current_artifacts(spark, runs_path: str, run_name: str, state_path: str) -> Callable[[], Artifacts]:
-    """A function giving the current run's artifacts; they are loaded anew only when the run changes."""
+def current_artifacts(spark, runs_path: str, run_name: str) -> Callable[[], Artifacts]:
+    """A function giving the current run's model, state and columns, all named by one row of the run log.
+
+    They are loaded anew only when the run changes. A model that takes other columns than its run says is refused.
+    """
     held: list[Artifacts] = []
 
     def get() -> Artifacts:
         runs = load_runs(spark, runs_path)
         run_id = resolve_run(runs, run_name)
         if not held or held[0].run_id != run_id:
-            model_path = runs.where(F.col("run_id") == run_id).select("model_path").first()[0]
-            held[:] = [Artifacts(run_id, load_state(spark, state_path), load_model(model_path))]
+            at = runs.where(F.col("run_id") == run_id).first()
+            model, columns = load_model(at["model_path"]), load_columns(spark, at["columns_path"])
+            if contract(model) != columns:
+                raise RuntimeError(f"The model of run '{run_id}' takes {contract(model)}; the run says {columns}.")
+            held[:] = [Artifacts(run_id, load_state(spark, at["state_path"]), model, tuple(columns))]
         return held[0]
 
     return get
@@ -70,4 +77,4 @@ def start_scoring(
         finally:
             decoded.unpersist()
 
-    return start(requests, handle, "append", **how)
+    return start(requests, handle, "append", **{"checkpoint": checkpoint_of(scored_path), **how})

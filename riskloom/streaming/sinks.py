@@ -7,22 +7,49 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from riskloom.session import new_path
+from riskloom.session import at_rest, remove
 
 
 def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch={batch_id}"
 
 
+def checkpoint_of(path: str) -> str:
+    """Where the progress of the stream that writes to ``path`` is kept: a restarted one goes on from there."""
+    return f"{path.rstrip('/')}-checkpoint"
+
+
+LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def start(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str, checkpoint: str | None = None,
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str, checkpoint: str,
     once: bool = True, every: str = "1 minute",
 ) -> StreamingQuery:
-    """Start ``handle`` on each micro-batch; ``once`` stops when the data at hand are done."""
-    checkpoint = checkpoint or new_path(stream.sparkSession, "stream-checkpoint")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+    """Start ``handle`` on each micro-batch; ``once`` stops when the data at hand are done.
+
+    Sessions are merged inside each task before the shuffle, whatever the session says: a query takes
+    a copy of the settings when it starts.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(LOCAL_SESSIONS, None)
+    conf.set(LOCAL_SESSIONS, "true")
+    try:
+        writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+    finally:
+        conf.unset(LOCAL_SESSIONS) if before is None else conf.set(LOCAL_SESSIONS, before)
+
+
+def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """batch and dropped: rows that came behind the watermark, for the micro-batches the query remembers.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them.
+    """
+    rows = [(p.batchId, sum(o.numRowsDroppedByWatermark for o in p.stateOperators)) for p in query.recentProgress]
+    return spark.createDataFrame(rows, "batch long, dropped long").where("dropped > 0")
 
 
 def start_versions(stream: DataFrame, path: str, **how) -> StreamingQuery:
@@ -31,12 +58,12 @@ def start_versions(stream: DataFrame, path: str, **how) -> StreamingQuery:
     Update mode lets the watermark drop old state, unlike complete mode, and shows windows
     before they close, unlike append mode. A batch run again overwrites its own folder.
     """
-    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(path, i)), "update", **how)
+    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(path, i)), "update", **{"checkpoint": checkpoint_of(path), **how})
 
 
 def start_appends(stream: DataFrame, path: str, **how) -> StreamingQuery:
     """The same folders for streams whose rows are final when they come out."""
-    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(path, i)), "append", **how)
+    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(path, i)), "append", **{"checkpoint": checkpoint_of(path), **how})
 
 
 def latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
@@ -45,3 +72,20 @@ def latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataF
     written = spark.read.schema(schema).parquet(path)
     newest = F.max_by(F.struct(*values), F.col("batch")).alias("newest")
     return written.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+
+
+def compact(spark: SparkSession, path: str, schema, keys: Sequence[str], upto: int) -> None:
+    """Fold the micro-batches up to ``upto``, which are done and not run again, into that one.
+
+    A reader sees the same newest versions before, during and after: the folded folder is written first.
+    """
+    batch = F.col("batch")
+    fields = [*schema.fields, StructField("batch", LongType())]
+    written = spark.read.schema(StructType(fields)).parquet(path)
+    old = sorted(r["batch"] for r in written.where(batch <= upto).select("batch").distinct().collect())
+    values = [c for c in schema.names if c not in keys]
+    newest = written.where(batch <= upto).groupBy(*keys).agg(F.max_by(F.struct(*values), batch).alias("newest"))
+    at_rest(newest.select(*keys, "newest.*"), "compacted").select(*schema.names).write.mode("overwrite").parquet(batch_path(path, upto))
+    for number in old:
+        if number != upto:
+            remove(spark, batch_path(path, number))

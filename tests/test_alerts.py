@@ -54,8 +54,25 @@ def test_sources_are_separate(spark):
 def test_down_alert_equals_brute_force(spark, rows):
     expected = []
     for source in (0, 1):
-        times = sorted({t for s, t, e in rows if s == source and not e})
-        expected += [(source, a, b) for a, b in zip(times, times[1:]) if b - a >= 60]
+        every = sorted(t for s, t, _ in rows if s == source)
+        if not every:
+            continue
+        times = [every[0], *sorted({t for s, t, e in rows if s == source and not e}), max(t for _, t, _ in rows)]
+        states = ["closed"] * (len(times) - 2) + ["open"]
+        expected += [(source, a, b, state) for a, b, state in zip(times, times[1:], states) if b - a >= 60]
     found = alerts.down_alert(log(spark, rows)).collect()
-    got = [(r.source, (r.down_from - START).seconds, (r.down_until - START).seconds) for r in found]
+    got = [(r.source, (r.down_from - START).seconds, (r.down_until - START).seconds, r.state) for r in found]
     assert sorted(got) == sorted(expected)
+
+
+def test_open_and_never_healthy(spark):
+    """One source stops being healthy after 100 s, the other never was."""
+    rows = [(1, t, int(t > 100)) for t in range(0, 601, 10)] + [(2, t, 1) for t in range(30, 601, 10)]
+    found = sorted((r.source, (r.down_from - START).seconds, (r.down_until - START).seconds, r.state) for r in alerts.down_alert(log(spark, rows)).collect())
+    assert found == [(1, 100, 600, "open"), (2, 30, 600, "open")]
+
+
+def test_error_states(spark):
+    rows = minutes("oxxxxxoxxxxxx")
+    found = alerts.error_states(alerts.error_counts(log(spark, rows))).collect()
+    assert sorted(((r.started - START).seconds // 60, r.state) for r in found) == [(1, "closed"), (7, "open")]

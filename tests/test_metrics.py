@@ -98,3 +98,8 @@ def test_latency_is_cumulative_and_counts_errors(spark):
     assert got["0.075"] == 0 and got["0.1"] == 1 and got["0.5"] == 2 and got["10.0"] == 2 and got["+Inf"] == 3
     row = m.latency_histogram(log).first()
     assert row.observations == 3 and math.isclose(row.total_seconds, 20.4)
+
+
+def test_auc_leaves_out_rows_without_a_score(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, float("nan")), (0, None)]
+    assert m.roc_auc(spark.createDataFrame(rows, "y int, score double")).first()[0] == 1.0

@@ -122,3 +122,11 @@ def test_profile_round_trips(spark, tmp_path):
     expected = sorted(stored.collect())
     assert sorted(tables.load_profile(spark, str(tmp_path / "t")).collect()) == expected
     assert sorted(tables.load_profile_json(spark, str(tmp_path / "j")).collect()) == expected
+
+
+def test_profile_reads_its_input_twice(spark, tmp_path):
+    """Once for the summary, which is written, and once for the bins."""
+    spark.range(50).selectExpr("id * 1.0 AS income").write.parquet(str(tmp_path / "t"))
+    found = p.profile(spark.read.parquet(str(tmp_path / "t")), ["income"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/t]") == 1 and plan.count("FileScan") == 3

@@ -21,7 +21,7 @@ def test_whole_request(spark):
     assert {c: row[c] for c in NUMERIC_COLUMNS} == WHOLE
 
 
-@pytest.mark.parametrize("body", ["not-json", "", None, "null", '{"year": 2013', "{'year' 1}"])
+@pytest.mark.parametrize("body", ["<none>", "", None, "null", '{"year": 2013', "{'year' 1}"])
 def test_invalid_json(spark, body):
     row, = decoded(spark, body)
     assert row.reason == r.INVALID_JSON and row.missing_fields is None

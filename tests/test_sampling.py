@@ -151,3 +151,9 @@ def test_missing_values_come_at_the_given_rate(spark):
         F.expr("count_if(a IS NULL)"), F.expr("count_if(b IS NULL)"), F.expr("count_if(a IS NULL AND b IS NULL)")
     ).first()
     assert 850 < a < 1150 and 850 < b < 1150 and both < 100
+
+
+def test_too_many_strata_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MAX_STRATA", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        sampling.stratified_split(spark.range(9).withColumn("is_ransomware", F.col("id")), ["id"])
