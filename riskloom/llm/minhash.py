@@ -5,10 +5,12 @@ bins; one pass keeps the smallest hash of each bin, and an empty bin takes the v
 hash of (bin, attempt), the same for all documents. Each band of ``ROWS`` bins is a bucket key.
 
 Documents with equal sets form a class, and only its smallest id goes on. In each bucket two hubs, the smallest id and
-the one with the smallest hash of (id, bucket), are paired with every member, so pairs grow with members and not with
-their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. Members that
-no hub reaches are paired with new hubs in further rounds, until every member of a bucket was a hub, or is in one
-component with a hub of each bucket. Every pair is confirmed on the full sets.
+the one nearest to the bucket key by exclusive or, are paired with every member, so pairs grow with members and not with
+their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. In further
+rounds, in buckets that still hold several components, members outside the largest become hubs, ``MORE_HUBS`` at first
+and four times as many each round, until none is left. So every two members of a bucket that end in different
+components were compared, and only groups that do not hang together cost more than their size. Every pair is
+confirmed on the full sets.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle make
 one shingle; rows with a null id link with nothing and have themselves (null) as component; rows that share an id are
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import words
@@ -31,7 +33,7 @@ from riskloom.session import at_rest, broadcast_if_small
 SHINGLE = 5
 THRESHOLD_PERCENT = 80
 BANDS, ROWS = 32, 4
-MAX_ROUNDS = 6
+MORE_HUBS = 8
 
 
 def shingles(piece: words.Piece, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,19 +139,49 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(step, "a long, b long").distinct()
 
 
-def star_pairs(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of each bucket's two hubs with its members, where the set sizes allow a link.
+def crowded_buckets(members: DataFrame) -> DataFrame:
+    """id, key and hubbed for the members of buckets with more than one; two of them are the first hubs.
 
-    The hubs are the smallest id and the one nearest to the bucket key by exclusive or.
+    These are the smallest id and the one nearest to the bucket key by exclusive or.
     """
     near = F.col("id").bitwiseXOR(F.col("key"))
     hubs = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min(near).alias("near")).where("low < high")
-    hub = F.explode(F.array("low", F.col("near").bitwiseXOR(F.col("key")))).alias("hub")
-    each = members.join(hubs, "key").select("id", hub).where("id <> hub")
-    pairs = each.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    hubbed = (F.col("id") == F.col("low")) | (near == F.col("near"))
+    return members.join(hubs, "key").select("id", "key", hubbed.alias("hubbed"))
+
+
+def able(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of ids whose set sizes allow a link."""
+    ordered = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).where("a < b").distinct()
     first, second = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b"))
-    able = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return pairs.join(first, "a").join(second, "b").where(able).select("a", "b").distinct()
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return ordered.join(first, "a").join(second, "b").where(fits).select("a", "b").distinct()
+
+
+def still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with that component."""
+    placed = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "key", "hubbed", F.coalesce("component", "id").alias("comp"))
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return placed.join(mixed.select("key"), "key")
+
+
+def next_hubs(apart: DataFrame, count: int) -> DataFrame:
+    """Up to ``count`` members per bucket that were no hub and are not in the bucket's largest component."""
+    sizes = apart.groupBy("key", "comp").count()
+    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
+    waiting = apart.where("NOT hubbed").join(largest, "key").where("comp <> main")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    return waiting.withColumn("place", place).where(F.col("place") <= count).select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links, which join whole components: a graph of few edges."""
+    of = {c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")) for c in ("a", "b")}
+    edges = links.join(of["a"], "a", "left").join(of["b"], "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    moved = at_rest(components(edges).select(F.col("node").alias("old"), F.col("component").alias("new")), "moved")
+    known = labels.join(moved, labels["component"] == moved["old"], "left").select("node", F.coalesce("new", "component").alias("component"))
+    fresh = moved.join(labels, moved["old"] == labels["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return known.unionByName(fresh)
 
 
 def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -160,15 +192,32 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERC
     of_row = at_rest(usable.select("doc_id", "set_a", "set_b", "n").join(classes, ["set_a", "set_b", "n"]).select("doc_id", "id"), "classes")
     heads = usable.join(classes, ["set_a", "set_b", "n"]).where("doc_id = id").dropDuplicates(["doc_id", "set_a", "set_b"])
     heads = at_rest(heads.select("id", "n", "bands"), "heads")
-    members = heads.select("id", F.explode("bands").alias("key"))
-
-    pairs = at_rest(star_pairs(members, heads.select("id", "n"), percent), "pairs")
-    wanted = at_rest(pairs.select("a").union(pairs.select("b")).distinct(), "wanted")
-    chosen = docs.join(broadcast_if_small(wanted, wanted.count()), docs["doc_id"] == wanted["a"], "left_semi")
+    sizes = heads.select("id", "n")
+    buckets = at_rest(crowded_buckets(heads.select("id", F.explode("bands").alias("key"))), "buckets")
+    hubs = buckets.where("hubbed").select("key", F.col("id").alias("hub"))
+    tested = at_rest(able(buckets.join(hubs, "key"), sizes, percent), "pairs")
+    wanted = at_rest(buckets.select("id").distinct(), "wanted")
+    chosen = docs.join(broadcast_if_small(wanted, wanted.count()), docs["doc_id"] == wanted["id"], "left_semi")
     sets = at_rest(shingle_sets(chosen, k), "sets")
-    links = at_rest(confirm(pairs, sets, percent), "links")
+    links = at_rest(confirm(tested, sets, percent), "links")
     same = of_row.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    labels = components(links.unionByName(same))
+    labels = at_rest(components(links.unionByName(same)), "components")
+    count = MORE_HUBS
+    while True:
+        apart = at_rest(still_apart(buckets, labels), "apart")
+        more = at_rest(next_hubs(apart, count), "hubs")
+        if more.isEmpty():
+            break
+        others = apart.where("NOT hubbed").join(more, "key").where("comp <> hub_comp")
+        pairs = at_rest(able(others, sizes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        links = at_rest(confirm(pairs, sets, percent), "links")
+        if not links.isEmpty():
+            labels = at_rest(relabelled(labels, links), "components")
+        done = more.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
+        buckets = apart.join(done, ["key", "id"], "left").select("id", "key", (F.col("hubbed") | F.coalesce("now", F.lit(False))).alias("hubbed"))
+        buckets = at_rest(buckets, "buckets")
+        count *= 4
     found = sketched.join(labels, sketched["doc_id"] == labels["node"], "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
