@@ -35,6 +35,7 @@ ORDER = 5
 NODES = 4_000_000
 VOCABULARY = 3_000_000
 FLUSH = 1_000_000
+PIECE = 200_000
 BLANK, END = 0x20, 0x0A
 GRAM, WORD = 0, 1
 _END_WORD = np.uint64(0)
@@ -82,6 +83,7 @@ def counts(training: DataFrame) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], []]
+        full = False
 
         def flush():
             for kind in (GRAM, WORD):
@@ -91,13 +93,15 @@ def counts(training: DataFrame) -> DataFrame:
                     held[kind] = []
 
         for batch in batches:
-            for piece in words.pieces(batch["text"], words.SOLID, lower=True):
+            for piece in words.pieces(batch["text"], words.SOLID, lower=True, limit=PIECE):
                 for kind, keys in ((GRAM, byte_keys(piece)[0]), (WORD, np.concatenate([piece.hash, np.full(piece.hi - piece.lo, _END_WORD)]))):
                     held[kind].append(np.unique(keys, return_counts=True))
                     if sum(len(k) for k, _ in held[kind]) > FLUSH:
                         held[kind] = [_merged(held[kind])]
-                if max(len(h[0][0]) for h in held) > FLUSH // 2:
+                        full = full or len(held[kind][0][0]) > FLUSH // 2
+                if full:
                     yield from flush()
+                    full = False
         yield from flush()
 
     found = training.select(F.col("text").cast("string")).mapInArrow(step, "kind long, key long, n long")
@@ -259,7 +263,7 @@ def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def byte_scores(batch: pa.RecordBatch, model: Ppm, number: int, slices: int) -> Iterator[tuple[words.Piece, np.ndarray]]:
-    for piece in words.pieces(batch["text"], words.SOLID, lower=True):
+    for piece in words.pieces(batch["text"], words.SOLID, lower=True, limit=PIECE):
         keys, starts = byte_keys(piece)
         if slices == 1:
             logs = model.log10(keys)
@@ -330,17 +334,18 @@ def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES, vo
     out = first_pass(sent(0, _arrays(frequent)))
     if least > 1 or slices > 1:
         out = at_rest(out, "scores")
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["tag"].eqNullSafe(b["tag"])
+    other = {"doc_id": "other_id", "tag": "other_tag"}
+    same = F.col("doc_id").eqNullSafe(F.col("other_id")) & F.col("tag").eqNullSafe(F.col("other_tag"))
     if least > 1:
         tails = out.select("doc_id", "tag", "tail").where(F.size("tail") > 0).dropDuplicates(["doc_id", "tag"])
         hits = tails.select("doc_id", "tag", F.explode("tail").alias("key")).groupBy("doc_id", "tag", "key").agg(F.count("*").alias("times"))
         gain = hits.join(rare, "key").groupBy("doc_id", "tag").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_base"))
-        out = out.join(gain, same(out, gain), "left").select(
-            out["doc_id"], out["tag"], "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        out = out.join(gain.withColumnsRenamed(other), same, "left").select(
+            "doc_id", "tag", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
             (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score",
         )
     if slices > 1:
         rest = reduce(DataFrame.unionAll, [more_pass(sent(i, (np.zeros(0, np.uint64), np.zeros(0, np.int64))), i) for i in range(1, slices)])
         total = rest.groupBy("doc_id", "tag").agg(F.sum("more").alias("more"))
-        out = out.join(total, same(out, total)).select(out["doc_id"], "held_out", "n_tokens", "n_known", "base_score", (F.col("score") + F.col("more")).alias("score"))
+        out = out.join(total.withColumnsRenamed(other), same).select("doc_id", "held_out", "n_tokens", "n_known", "base_score", (F.col("score") + F.col("more")).alias("score"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
