@@ -6,11 +6,11 @@ hash of (bin, attempt), the same for all documents. Each band of ``ROWS`` bins i
 
 Documents with equal sets form a class, and only its smallest id goes on. In each bucket two hubs, the smallest id and
 the one nearest to the bucket key by exclusive or, are paired with every member, so pairs grow with members and not with
-their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. In further
-rounds, in buckets that still hold several components, members outside the largest become hubs, ``MORE_HUBS`` at first
-and four times as many each round, until none is left. So every two members of a bucket that end in different
-components were compared, and only groups that do not hang together cost more than their size. Every pair is
-confirmed on the full sets.
+their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. In a
+second round, in buckets that still hold several components, the members outside the largest are hubs themselves, in their
+smallest buckets (those share their edits), with ``SECOND_PAIRS`` pairs each at most, so that pairs stay in proportion
+to members. Every pair is confirmed on the full sets. What stars can miss is a link that hangs on one pair of a large
+group: a member that is similar enough to few others, none of them a hub of its buckets.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle make
 one shingle; rows with a null id link with nothing and have themselves (null) as component; rows that share an id are
@@ -33,7 +33,7 @@ from riskloom.session import at_rest, broadcast_if_small
 SHINGLE = 5
 THRESHOLD_PERCENT = 80
 BANDS, ROWS = 32, 4
-MORE_HUBS = 8
+SECOND_PAIRS = 256
 
 
 def shingles(piece: words.Piece, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,13 +165,13 @@ def still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(mixed.select("key"), "key")
 
 
-def next_hubs(apart: DataFrame, count: int) -> DataFrame:
-    """Up to ``count`` members per bucket that were no hub and are not in the bucket's largest component."""
+def second_hubs(apart: DataFrame, most: int) -> DataFrame:
+    """Members outside the largest component of a bucket as hubs of their smallest buckets, ``most`` pairs each at most."""
     sizes = apart.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
-    waiting = apart.where("NOT hubbed").join(largest, "key").where("comp <> main")
-    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    return waiting.withColumn("place", place).where(F.col("place") <= count).select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("size")).where(F.col("size") <= most)
+    waiting = apart.where("NOT hubbed").join(largest.select("key", "size", F.col("most.comp").alias("main")), "key").where("comp <> main")
+    so_far = F.sum("size").over(Window.partitionBy("id").orderBy("size", "key").rowsBetween(Window.unboundedPreceding, 0))
+    return waiting.withColumn("so_far", so_far).where(F.col("so_far") <= most).select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -188,7 +188,8 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERC
     """doc_id, n_shingles, component_id and kept for every row."""
     sketched = at_rest(sketch(docs, k, bands, rows), "sketches")
     usable = sketched.where("n > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("id"))
+    # At rest, so that the joins below are between plain shuffles, whose hot keys adaptive execution splits.
+    classes = at_rest(usable.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("id")), "set-classes")
     of_row = at_rest(usable.select("doc_id", "set_a", "set_b", "n").join(classes, ["set_a", "set_b", "n"]).select("doc_id", "id"), "classes")
     heads = usable.join(classes, ["set_a", "set_b", "n"]).where("doc_id = id").dropDuplicates(["doc_id", "set_a", "set_b"])
     heads = at_rest(heads.select("id", "n", "bands"), "heads")
@@ -202,22 +203,13 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERC
     links = at_rest(confirm(tested, sets, percent), "links")
     same = of_row.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     labels = at_rest(components(links.unionByName(same)), "components")
-    count = MORE_HUBS
-    while True:
-        apart = at_rest(still_apart(buckets, labels), "apart")
-        more = at_rest(next_hubs(apart, count), "hubs")
-        if more.isEmpty():
-            break
-        others = apart.where("NOT hubbed").join(more, "key").where("comp <> hub_comp")
-        pairs = at_rest(able(others, sizes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        links = at_rest(confirm(pairs, sets, percent), "links")
-        if not links.isEmpty():
-            labels = at_rest(relabelled(labels, links), "components")
-        done = more.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
-        buckets = apart.join(done, ["key", "id"], "left").select("id", "key", (F.col("hubbed") | F.coalesce("now", F.lit(False))).alias("hubbed"))
-        buckets = at_rest(buckets, "buckets")
-        count *= 4
+    apart = at_rest(still_apart(buckets, labels), "apart")
+    more = at_rest(second_hubs(apart, SECOND_PAIRS), "hubs")
+    others = apart.join(more, "key").where("comp <> hub_comp")
+    pairs = at_rest(able(others, sizes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = at_rest(confirm(pairs, sets, percent), "links")
+    if not links.isEmpty():
+        labels = at_rest(relabelled(labels, links), "components")
     found = sketched.join(labels, sketched["doc_id"] == labels["node"], "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
