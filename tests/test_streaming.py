@@ -192,12 +192,13 @@ def test_stream_goes_on_after_a_restart(spark, log):
 
 
 def test_sessions_are_merged_before_the_shuffle(spark, log):
+    before = spark.conf.get(sinks.LOCAL_SESSIONS)
     stream = monitor.down_alert_stream(in_files(spark, log), "3 hours")
     query = sinks.start_appends(stream, new_path(spark, "down"))
     query.awaitTermination()
     plan = query._jsq.explainInternal(False)
     assert "MergingSessions" in plan.split("Exchange hashpartitioning(source")[-1]
-    assert spark.conf.get(sinks.LOCAL_SESSIONS) == "false"
+    assert spark.conf.get(sinks.LOCAL_SESSIONS) == before
 
 
 def test_batch_run_again_overwrites_itself(spark):
