@@ -195,18 +195,22 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def search_step(block):
-    """One pass of ``mapInArrow`` that adds the block's spans and items to those found before."""
+def search_step(block, last: bool):
+    """One pass of ``mapInArrow`` that adds the block's spans and items to those found before.
+
+    The text is read from ``doc`` where that has it, and goes back to Spark beside ``doc`` only for a next pass.
+    """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = block.value
         for batch in batches:
             names = batch.schema.names
             n = batch.num_rows
+            column = batch["text"] if "text" in names else batch["doc"].field("text")
             spans = [[(x["s"], x["e"]) for x in v] for v in batch["spans"].to_pylist()] if "spans" in names else [[] for _ in range(n)]
             items = batch["items"].to_pylist() if "items" in names else [[] for _ in range(n)]
             totals = np.zeros(n, np.int64)
-            for piece in words.pieces(batch["text"], words.ALNUM, lower=True):
+            for piece in words.pieces(column, words.ALNUM, lower=True):
                 totals[piece.lo : piece.hi] = piece.counts
                 for window, at in occurrences(piece, own) if own else []:
                     row = int(piece.row[at])
@@ -219,8 +223,8 @@ def search_step(block):
                 pa.array([[{"s": s, "e": e} for s, e in merge(v)] for v in spans], kind),
                 pa.array([sorted(set(v)) for v in items], pa.list_(pa.string())),
             ]
-            carried = [batch["doc"], batch["text"]]
-            yield pa.RecordBatch.from_arrays([*carried, *results], ["doc", "text", "n_words", "spans", "items"])
+            carried = [c for c in ("doc", "text") if c in names and not (last and c == "text")]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in carried], *results], [*carried, "n_words", "spans", "items"])
 
     return step
 
@@ -246,13 +250,15 @@ def find(docs: DataFrame, items: DataFrame, carry: list[str], window: int = WIND
     total = tests.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     share = F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks))
-    out = docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), F.col("text").cast("string").alias("text"))
+    apart = [] if "text" in carry and dict(docs.dtypes)["text"] == "string" else [F.col("text").cast("string").alias("text")]
+    out = docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), *apart)
     kind = out.schema["doc"].dataType.simpleString()
     for b in range(blocks):
         rows = [(r["item_id"], r["words"].encode()) for r in tests.where(share == b).collect()]
         sent = spark.sparkContext.broadcast(make_block(rows, window))
-        out = out.mapInArrow(search_step(sent), f"doc {kind}, text string, {FOUND}")
-    return out.drop("text")
+        last = b == blocks - 1
+        out = out.mapInArrow(search_step(sent, last), f"doc {kind}, " + "text string, " * (bool(apart) and not last) + FOUND)
+    return out
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
