@@ -246,12 +246,15 @@ def apply(docs: DataFrame, model: tuple[Lexicon, np.ndarray], carry: list[str])
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, beta = sent.value
         for batch in batches:
-            for piece in words.pieces(batch["text"], words.ALNUM, lower=True):
+            column = batch["text"] if "text" in batch.schema.names else batch["doc"].field("text")
+            for piece in words.pieces(column, words.ALNUM, lower=True):
                 total, most, matched = clause_scores(piece, lex)
                 score = 1 / (1 + np.exp(-np.clip(_features(total, most) @ beta, -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch["doc"].slice(piece.lo, piece.hi - piece.lo), pa.array(score), pa.array(matched)], ["doc", "score", "clauses"])
 
-    given = docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), F.col("text").cast("string").alias("text"))
+    # A text that is carried is not sent a second time.
+    apart = [] if "text" in carry and dict(docs.dtypes)["text"] == "string" else [F.col("text").cast("string").alias("text")]
+    given = docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), *apart)
     return given.mapInArrow(step, f"doc {given.schema['doc'].dataType.simpleString()}, score double, clauses long")
 
 
