@@ -6,11 +6,12 @@ hash of (bin, attempt), the same for all documents. Each band of ``ROWS`` bins i
 
 Documents with equal sets form a class, and only its smallest id goes on. In each bucket two hubs, the smallest id and
 the one nearest to the bucket key by exclusive or, are paired with every member, so pairs grow with members and not with
-their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. In a
-second round, in buckets that still hold several components, the members outside the largest are hubs themselves, in their
-smallest buckets (those share their edits), with ``SECOND_PAIRS`` pairs each at most, so that pairs stay in proportion
-to members. Every pair is confirmed on the full sets. What stars can miss is a link that hangs on one pair of a large
-group: a member that is similar enough to few others, none of them a hub of its buckets.
+their square; hubs differ from bucket to bucket, so a group is tied together through many of its members. In further
+rounds, in buckets that still hold several components, members outside the largest become hubs, ``MORE_HUBS`` a bucket at
+first and four times as many each round, until none is left. So every two members of a bucket that end in different
+components were compared. These rounds go block by block over salted keys: ``CELLS`` counts of a set's hashes bound
+what two sets can share, so that only pairs that can reach the threshold leave a block, in the least of their common
+buckets. Every pair that does is confirmed on the full sets.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle make
 one shingle; rows with a null id link with nothing and have themselves (null) as component; rows that share an id are
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import words
@@ -33,7 +34,9 @@ from riskloom.session import at_rest, broadcast_if_small
 SHINGLE = 5
 THRESHOLD_PERCENT = 80
 BANDS, ROWS = 32, 4
-SECOND_PAIRS = 256
+MORE_HUBS = 256
+CELLS = 256
+BLOCK = 256
 
 
 def shingles(piece: words.Piece, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +85,12 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def cells(row: np.ndarray, h: np.ndarray, n: int) -> list[bytes]:
+    """Per row, how many of its hashes fall into each of ``CELLS`` cells; 255 stands for that and more."""
+    counts = np.bincount(row * CELLS + (h % np.uint64(CELLS)).astype(np.int64), minlength=n * CELLS)
+    return [x.tobytes() for x in np.minimum(counts, 255).astype(np.uint8).reshape(n, CELLS)]
+
+
 def sketch(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n (set size), set_a and set_b (two sums that name the set) and the band keys of every row."""
 
@@ -98,11 +107,11 @@ def sketch(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> Dat
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[sizes > 0].ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(piece.lo, n), pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(b), lists],
-                    ["doc_id", "n", "set_a", "set_b", "bands"],
+                    [batch["doc_id"].slice(piece.lo, n), pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(b), lists, pa.array(cells(row, h, n), pa.binary())],
+                    ["doc_id", "n", "set_a", "set_b", "bands", "cells"],
                 )
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(step, "doc_id long, n long, set_a long, set_b long, bands array<long>")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(step, "doc_id long, n long, set_a long, set_b long, bands array<long>, cells binary")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -165,13 +174,57 @@ def still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(mixed.select("key"), "key")
 
 
-def second_hubs(apart: DataFrame, most: int) -> DataFrame:
-    """Members outside the largest component of a bucket as hubs of their smallest buckets, ``most`` pairs each at most."""
+def next_hubs(apart: DataFrame, count: int) -> DataFrame:
+    """Up to ``count`` members per bucket that were no hub and are not in the bucket's largest component, with their block."""
     sizes = apart.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("size")).where(F.col("size") <= most)
-    waiting = apart.where("NOT hubbed").join(largest.select("key", "size", F.col("most.comp").alias("main")), "key").where("comp <> main")
-    so_far = F.sum("size").over(Window.partitionBy("id").orderBy("size", "key").rowsBetween(Window.unboundedPreceding, 0))
-    return waiting.withColumn("so_far", so_far).where(F.col("so_far") <= most).select("key", F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
+    waiting = apart.where("NOT hubbed").select("key", "id", "comp").join(largest, "key").where("comp <> main")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    return waiting.withColumn("place", place).where(F.col("place") <= count).select("key", "id", "comp", F.expr(f"div(place - 1, {BLOCK})").alias("block"))
+
+
+def blocks(members: DataFrame, heads: DataFrame, block: Column, name: str) -> DataFrame:
+    """key, and the members of one block of that bucket as a list ``name``."""
+    facts = F.struct("id", "comp", "n", "cells", "bands").alias("fact")
+    placed = members.join(heads, "id").select("key", block.alias("block"), facts)
+    return placed.groupBy("key", "block").agg(F.collect_list("fact").alias(name)).drop("block")
+
+
+def _columns(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
+    """id, comp, n, cells and bands of a block."""
+    numbers = [np.asarray(rows.field(c)) for c in ("id", "comp", "n")]
+    counts = np.stack([np.frombuffer(v.as_buffer(), np.uint8) for v in rows.field("cells")])
+    return *numbers, counts, np.asarray(rows.field("bands").flatten()).reshape(len(rows), -1)
+
+
+def possible(hubs: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """a < b of the pairs of a hub and a member of another component whose sets can be similar enough.
+
+    Of two sets that share m hashes, the sums of the smaller cell counts are m at least, so none that is similar is left out.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hub, other = (_columns(batch[c][i].values) for c in ("hubs", "others"))
+                full = (other[3] == 255).any(axis=1)
+                found: list[np.ndarray] = []
+                for id_, comp, n, counts, bands in zip(*hub):
+                    least, most = np.minimum(n, other[2]), np.maximum(n, other[2])
+                    at = np.flatnonzero((other[0] != id_) & (other[1] != comp) & (100 * least >= percent * most))
+                    shared = np.minimum(counts, other[3][at]).sum(axis=1, dtype=np.int64)
+                    shared = np.where(full[at] | (counts == 255).any(), least[at], np.minimum(shared, least[at]))
+                    at = at[100 * shared >= percent * (n + other[2][at] - shared)]
+                    if len(at):
+                        common = np.where(bands == other[4][at], bands, np.iinfo(np.int64).max).min(axis=1)
+                        at = at[common == batch["key"][i].as_py()]
+                        found.append(np.stack([np.minimum(id_, other[0][at]), np.maximum(id_, other[0][at])]))
+                if found:
+                    a, b = np.concatenate(found, axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    # Two blocks a row: a batch of rows is bounded in bytes by Spark.
+    return hubs.join(others, "key").select("key", "hubs", "others").mapInArrow(step, "a long, b long").distinct()
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -192,7 +245,7 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERC
     classes = at_rest(usable.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("id")), "set-classes")
     of_row = at_rest(usable.select("doc_id", "set_a", "set_b", "n").join(classes, ["set_a", "set_b", "n"]).select("doc_id", "id"), "classes")
     heads = usable.join(classes, ["set_a", "set_b", "n"]).where("doc_id = id").dropDuplicates(["doc_id", "set_a", "set_b"])
-    heads = at_rest(heads.select("id", "n", "bands"), "heads")
+    heads = at_rest(heads.select("id", "n", "bands", "cells"), "heads")
     sizes = heads.select("id", "n")
     buckets = at_rest(crowded_buckets(heads.select("id", F.explode("bands").alias("key"))), "buckets")
     hubs = buckets.where("hubbed").select("key", F.col("id").alias("hub"))
@@ -203,13 +256,24 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERC
     links = at_rest(confirm(tested, sets, percent), "links")
     same = of_row.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     labels = at_rest(components(links.unionByName(same)), "components")
-    apart = at_rest(still_apart(buckets, labels), "apart")
-    more = at_rest(second_hubs(apart, SECOND_PAIRS), "hubs")
-    others = apart.join(more, "key").where("comp <> hub_comp")
-    pairs = at_rest(able(others, sizes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = at_rest(confirm(pairs, sets, percent), "links")
-    if not links.isEmpty():
-        labels = at_rest(relabelled(labels, links), "components")
+    count = MORE_HUBS
+    while True:
+        apart = at_rest(still_apart(buckets, labels), "apart")
+        more = at_rest(next_hubs(apart, count), "hubs")
+        if more.isEmpty():
+            break
+        crowds = apart.join(more.select("key").distinct(), "key").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        members = apart.join(crowds, "key").select("key", "id", "comp", F.pmod(F.xxhash64("id"), "parts").alias("block"))
+        near = possible(blocks(more, heads, F.col("block"), "hubs"), blocks(members, heads, F.col("block"), "others"), percent)
+        pairs = at_rest(near.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        links = at_rest(confirm(pairs, sets, percent), "links")
+        if not links.isEmpty():
+            labels = at_rest(relabelled(labels, links), "components")
+        done = more.select("key", "id", F.lit(True).alias("now"))
+        buckets = apart.join(done, ["key", "id"], "left").select("id", "key", (F.col("hubbed") | F.coalesce("now", F.lit(False))).alias("hubbed"))
+        buckets = at_rest(buckets, "buckets")
+        count *= 4
     found = sketched.join(labels, sketched["doc_id"] == labels["node"], "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),

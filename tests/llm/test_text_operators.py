@@ -245,6 +245,26 @@ def test_near_groups(spark):
         assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_near_pairs_of_crowded_buckets(spark):
+    """1,100 distinct near copies of one text; each is similar enough to one other alone, and both share crowded buckets only."""
+    rng = random.Random(11)
+    rows = []
+    for pair in range(550):
+        places = set(rng.sample(range(200), 22))
+        for copy in "xy":
+            rows.append((len(rows), " ".join(f"{copy}{pair}.{j}" if j in places else f"w{j}" for j in range(200))))
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_cell_counts_leave_no_similar_pair_out(spark):
+    """Sets of so many hashes that cells are full."""
+    heads = spark.createDataFrame([(i, i, 90_000 + 10_000 * i, bytearray([255] * minhash.CELLS), [5, 6]) for i in range(3)], "id long, comp long, n long, cells binary, bands array<long>")
+    members = heads.select("id", "comp", minhash.F.lit(5).cast("long").alias("key"))
+    lists = [minhash.blocks(members, heads.drop("comp"), minhash.F.lit(0), name) for name in ("hubs", "others")]
+    assert sorted(map(tuple, minhash.possible(*lists, 80).collect())) == [(0, 1), (0, 2), (1, 2)]
+
+
 def test_near_odd(odd_docs, no_docs):
     got = minhash.near_groups(odd_docs).collect()
     assert len(got) == odd_docs.count()
