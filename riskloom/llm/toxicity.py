@@ -9,8 +9,9 @@ Four transducers read the classes of a clause's words and are composed into one
 
 Clauses end at ``. ! ? ; :`` and line ends. A text's score comes from its matched clauses alone: a logistic function
 of the logarithm of their weights' sum and of the heaviest. Words that carry weight are a short list and what is
-learned: whole words and word beginnings (``PREFIXES`` bytes) whose log odds between toxic and other training texts
-pass ``LEAST_ODDS``, in at least ``LEAST_SHARE`` of the toxic ones. The fit uses at most ``SAMPLE_ROWS`` labelled rows,
+learned: whole words and word beginnings (``PREFIXES`` bytes) in at least ``LEAST_TEXTS`` toxic training texts, whose log
+odds between toxic and other ones pass ``LEAST_ODDS``. A learned word weighs the lower confidence bound of its log odds
+(``DEVIATIONS`` standard errors below), so rare words weigh less; words with a bound of zero or less are left out. The fit uses at most ``SAMPLE_ROWS`` labelled rows,
 those with the smallest hash of their id; texts never come to the driver.
 
 Defined results: null and empty texts match no clause and get the score of no match; without labels of both kinds
@@ -36,8 +37,8 @@ SAMPLE_ROWS = 20_000
 LEXICON_ROWS = 20_000
 PREFIXES = (4, 5, 6)
 LEAST_ODDS = 3.0
-LEAST_SHARE = 0.03
 LEAST_TEXTS = 4
+DEVIATIONS = 1.645
 THRESHOLD = 0.7
 
 OTHER, HARM, TARGET, NEGATION, REPORT = range(5)
@@ -173,7 +174,7 @@ def _sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, rows: int
 
 
 def learn_terms(sample: DataFrame, n_toxic: int, n_other: int) -> list[tuple[int, int, float]]:
-    """(size, hash, log odds) of the words and word beginnings that mark toxic texts."""
+    """(size, hash, lower bound of the log odds) of the words and word beginnings that mark toxic texts."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,10 +194,12 @@ def learn_terms(sample: DataFrame, n_toxic: int, n_other: int) -> list[tuple[int
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), size)), pa.array(keys.view(np.int64)), pa.array(bad), pa.array(both)], ["size", "hash", "bad", "all"])
 
     found = sample.mapInArrow(step, "size long, hash long, bad long, all long").groupBy("size", "hash").agg(F.sum("bad").alias("bad"), F.sum("all").alias("all"))
-    odds = F.log((F.col("bad") + 0.5) / (n_toxic - F.col("bad") + 0.5)) - F.log((F.col("all") - F.col("bad") + 0.5) / (n_other - F.col("all") + F.col("bad") + 0.5))
-    marking = found.where(F.col("bad") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    best = marking.orderBy(F.desc("bad"), F.desc("odds"), "size", "hash").limit(LEXICON_ROWS)
-    return [(r["size"], r["hash"] % (1 << 64), r["odds"]) for r in best.collect()]
+    cells = [F.col("bad") + 0.5, n_toxic - F.col("bad") + 0.5, F.col("all") - F.col("bad") + 0.5, n_other - F.col("all") + F.col("bad") + 0.5]
+    odds = F.log(cells[0] / cells[1]) - F.log(cells[2] / cells[3])
+    bound = odds - DEVIATIONS * F.sqrt(sum(1 / c for c in cells))
+    marking = found.where(F.col("bad") >= LEAST_TEXTS).withColumn("bound", bound).where((odds >= LEAST_ODDS) & (F.col("bound") > 0))
+    best = marking.orderBy(F.desc("bound"), F.desc("bad"), "size", "hash").limit(LEXICON_ROWS)
+    return [(r["size"], r["hash"] % (1 << 64), r["bound"]) for r in best.collect()]
 
 
 def _features(total: np.ndarray, most: np.ndarray) -> np.ndarray:

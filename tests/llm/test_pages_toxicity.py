@@ -85,6 +85,14 @@ def test_learned_words_and_held_out_accuracy(spark):
     assert all(r["predicted"] == int(r["doc_id"] % 4 == 0) and 0 <= r["score"] <= 1 for r in rows)
 
 
+def test_words_of_few_toxic_texts_are_learned(spark):
+    rows = [(f"plain words {'grumpf' if i < 400 else 'snarx' if i < 406 else ''}", int(i < 406)) for i in range(2000)]
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic long"), 406, 1594)
+    common, rare, plain = (int(h) for h in words.word_hashes([b"grumpf", b"snarx", b"plain"]))
+    weights = {h: w for size, h, w in terms if size == 0}
+    assert weights[common] > weights[rare] > 0 and plain not in weights
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     other = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(), 1 - toxicity.F.col("toxic")).otherwise(toxicity.F.col("toxic")))
