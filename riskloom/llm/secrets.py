@@ -1,10 +1,11 @@
 """Secrets: fixed patterns, and a token-efficiency test for random strings.
 
 Three base kinds are found by pattern (``BASE``). The method adds the kind ``random``: a run of characters that keys and
-tokens are made of, with letters and digits, for which a public byte-pair vocabulary needs many tokens: fewer than
+tokens are made of, with letters, for which a public byte-pair vocabulary needs many tokens: fewer than
 ``CHARS_PER_TOKEN`` characters each. Words and names compress well under such a vocabulary, random characters do not.
-Left out are digests of known lengths, UUIDs, plain numbers and dates, addresses and paths, names of several words, and
-runs that touch a base span. Only the candidates are tokenised.
+Left out are digests of known lengths, UUIDs, plain numbers and dates, runs that touch a base span, and addresses, paths and
+names whose every part is like a word by the same ratio. Runs without a digit and in one case count from
+``LEAST_LETTERS`` characters on, as rare words have low ratios too. Only the candidates are tokenised.
 
 Places are code points, end exclusive. Defined results: null and empty texts have no spans; very long runs count as
 one span like any other and are judged on the whole run; repeated rows are reported each; extra columns are
@@ -36,17 +37,23 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHARS_PER_TOKEN = 2.0
 LEAST_CHARS = 16
+LEAST_LETTERS = 21
 # Long runs are tokenised block by block: the time stays in proportion to their length.
 BLOCK = 2_000
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{%d,}" % LEAST_CHARS)
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{%d,}" % LEAST_CHARS)
 EXCLUDED = re.compile(
     r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"  # digests
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
     r"|sha(?:1|256|384|512)-[A-Za-z0-9+/]+=*"  # integrity digests
     r"|[0-9.+=/_-]+"  # numbers, dates, versions
-    r"|[A-Za-z]*[0-9]{0,4}(?:[_.-][A-Za-z]*[0-9]{0,4})*"  # names of several words, with short numbers
+)
+# Left out if every part is like a word.
+NAMED = re.compile(
+    r"[A-Za-z]*[0-9]{0,4}(?:[_.-][A-Za-z]*[0-9]{0,4})*"  # names of several words, with short numbers
     r"|/?(?:[A-Za-z0-9_.-]+/)+[A-Za-z_-]*[.]?[a-z]{0,4}"  # paths
 )
+_PART = re.compile(r"[A-Za-z0-9]+")
+_NUMBER = re.compile(r"[0-9]{1,4}$")
 
 
 def tokenizer(path: str = VOCABULARY) -> Callable[[str], int]:
@@ -73,6 +80,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def is_name(run: str, tokens: Callable[[str], int], ratio: float = CHARS_PER_TOKEN) -> bool:
+    """A path or name whose parts are numbers, of three letters at most, or like words; a short number may follow each."""
+    if not NAMED.fullmatch(run):
+        return False
+    stems = (_NUMBER.sub("", part) for part in _PART.findall(run) if not part.isdigit())
+    return all(len(stem) <= 3 or len(stem) >= ratio * tokens(stem) for stem in stems)
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], tokens: Callable[[str], int], ratio: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
     """Runs with few characters per token that touch no base span."""
     out = []
@@ -82,7 +97,9 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], tokens: Callable[
         end = start + len(run)
         if len(run) < LEAST_CHARS or EXCLUDED.fullmatch(run) or any(s < end and start < e for s, _, e in taken):
             continue
-        if len(run) < ratio * tokens(run):
+        if len(run) < LEAST_LETTERS and not any(c.isdigit() for c in run) and (run.islower() or run.isupper() or run.istitle()):
+            continue
+        if len(run) < ratio * tokens(run) and not is_name(run, tokens, ratio):
             out.append((start, len(KINDS) - 1, end))
     return out
 

@@ -124,6 +124,17 @@ def test_random_runs_and_what_is_left_out():
     assert tokens("ab1" * 5000) > 0
 
 
+def test_random_runs_like_paths_and_names():
+    tokens, rng = secrets.tokenizer(), random.Random(5)
+    found = lambda t: [t[s:e] for s, _, e in secrets.random_spans(t, secrets.base_spans(t), tokens)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mixed = ["".join(rng.choice(letters + letters.upper()) for _ in range(24)) for _ in range(50)]
+    for run in ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "xqzvkwjbfhgmtpqzxwvk42", *mixed]:
+        assert found(f"see {run} here") == [run]
+    for text in ("src/main/java/org/thing4/ServletRequest", "internationalization", "my-long-name-of-words", "Geschwindigkeitsbegrenzung"):
+        assert found(text) == []
+
+
 def test_secret_scan(spark, odd_docs, no_docs):
     rows = [(1, "token=abcdefghijkl and Zx9Qv3LkT8bWn2RyUj5P"), (2, None), (3, "é" + HEX)]
     got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
