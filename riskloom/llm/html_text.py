@@ -9,7 +9,8 @@ characters and LT tags of links, the density is
 zero divisors counting as 1. The sum of a node's child densities is its score, and the node with the largest sum is the
 core. The least density on the path from the body to the core is the threshold: where the path passes, other
 children that reach it belong to the text too. A core inside an ``article`` or ``main`` stands for that whole
-element, one that is a single paragraph for the element around it; link lists inside are dropped.
+element, one that is a single paragraph for the element around it. Inside the core only what is marked as boilerplate
+is dropped; where the whole body is the core, lists of links are too.
 
 Blocks are the texts between block-level tags: character references decoded, white space as one blank, trimmed, joined
 by two line ends. Defined results: null and empty pages and pages without text give an empty text; null ids and urls are
@@ -202,7 +203,7 @@ def _is_link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "table", "p", "section") and node.link_tags >= 2 and 2 * node.link_chars > node.chars
 
 
-def _text(node: Node, out: list[str]) -> None:
+def _text(node: Node, out: list[str], link_lists: bool = True) -> None:
     """The parts of a node in page order, a line end at each block border."""
     waiting: list = [node]
     while waiting:
@@ -211,7 +212,7 @@ def _text(node: Node, out: list[str]) -> None:
             out.append(x)
         elif x.tag in ("br", "hr"):
             out.append(" " if x.tag == "br" else "\0")
-        elif not x.drop and not (x is not node and _is_link_list(x)):
+        elif not x.drop and (link_lists or x is node or not _is_link_list(x)):
             border = ["\0"] if x.tag in BLOCK else []
             waiting.extend(border + x.parts[::-1] + border)
 
@@ -248,7 +249,7 @@ def extract(page: str | None) -> str:
             out.append(x if whole is None else " ")
         elif x is core:
             out.append("\0")
-            _text(x, out)
+            _text(x, out, core.tag not in ("body", "html"))
             out.append("\0")
         elif id(x) in on_path:
             waiting.extend(["\0", *x.parts[::-1], "\0"])

@@ -33,6 +33,15 @@ def test_density_without_article_tags():
     assert text.startswith("Head\n\nmany plain") and "link number" not in text and text.count("\n\n") == 6 and "tiny" not in text
 
 
+STORY = "".join(f"<p>{'many plain words of the story ' * 12}{i}</p>" for i in range(4))
+
+
+def test_links_inside_the_article_stay():
+    links = "<a href=a>Name of one</a>, <a href=b>name of two</a>"
+    page = f"<article>{STORY}<p>See {links}</p><ul><li>{links}</ul><table><tr><td>{links}</table><ul class=menu><li>{links}</ul></article>"
+    assert html_text.extract(page).split("\n\n")[4:] == ["See Name of one, name of two"] + ["Name of one, name of two"] * 2
+
+
 def test_deep_and_broken_markup():
     assert html_text.extract("<div>" * 5000 + "x" + "</b>" * 10 + "<") == "x <" or html_text.extract("<div>" * 5000 + "x").strip() == "x"
     assert html_text.extract("<p title='" * 2000) == ""
