@@ -8,9 +8,10 @@ characters and LT tags of links, the density is
 
 zero divisors counting as 1. The sum of a node's child densities is its score, and the node with the largest sum is the
 core. The least density on the path from the body to the core is the threshold: where the path passes, other
-children that reach it belong to the text too. A core inside an ``article`` or ``main`` stands for that whole
-element, one that is a single paragraph for the element around it. Inside the core only what is marked as boilerplate
-is dropped; where the whole body is the core, lists of links are too.
+children that reach it belong to the text too, unless they are mostly links. A core inside a ``main`` or else ``article`` stands
+for the outermost such element, one that is a single paragraph for the element around it. All other ``article``
+elements belong to the text unless their role, class or id marks them as boilerplate. Inside the chosen elements only what is
+marked is dropped; where the whole body is the core, lists of links are too.
 
 Blocks are the texts between block-level tags: character references decoded, white space as one blank, trimmed, joined
 by two line ends. Defined results: null and empty pages and pages without text give an empty text; null ids and urls are
@@ -56,10 +57,10 @@ _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parts", "parent", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "drop", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop, self.parts = tag, parent, drop, []
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, marked: bool = False):
+        self.tag, self.parent, self.drop, self.marked, self.parts = tag, parent, drop, marked, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -146,7 +147,7 @@ def parse(page: str) -> Node:
                 node = place.parent
         if tag == "body" and node.tag == "head":
             node = node.parent
-        child = Node(tag, node, _is_boilerplate(tag, attributes))
+        child = Node(tag, node, _is_boilerplate(tag, attributes), tag == "article" and _is_boilerplate("div", attributes))
         node.parts.append(child)
         if not (attributes.endswith("/") and tag not in BLOCK):
             node = child
@@ -229,35 +230,38 @@ def extract(page: str | None) -> str:
     core = max(nodes, key=lambda n: (n.total, n.density))
     if not core.total:
         core = max(nodes, key=lambda n: n.density)
-    whole = core
-    while whole is not None and whole.tag not in ("article", "main"):
-        whole = whole.parent
-    if whole is not None:
-        core = whole
-    elif core.parent is not None and core.tag not in ("div", "section", "body", "td", "html"):
-        while core.parent is not None and core.tag not in ("div", "section", "body", "td", "html"):
-            core = core.parent
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    on_path, out = set(map(id, path)), []
+    whole = [n for n in path if n.tag == "main"] or [n for n in path if n.tag == "article"]
+    if whole:
+        core = whole[-1]
+    while not whole and core.parent is not None and core.tag not in ("div", "section", "body", "td", "html"):
+        core = core.parent
+    on_path, around, out = set(map(id, path)), set(), []
+    for node in nodes:
+        up = node.parent if node.tag == "article" and not node.marked else None
+        while up is not None and id(up) not in around:
+            around.add(id(up))
+            up = up.parent
     waiting: list = [root]
     while waiting:
         x = waiting.pop()
         if isinstance(x, str):
-            out.append(x if whole is None else " ")
+            out.append(x)
         elif x is core:
             out.append("\0")
             _text(x, out, core.tag not in ("body", "html"))
             out.append("\0")
         elif id(x) in on_path:
             waiting.extend(["\0", *x.parts[::-1], "\0"])
-        elif x.tag in ("article", "main") or (whole is None and x.density >= threshold and not x.drop and not _is_link_list(x)):
-            if not x.drop:
-                out.append("\0" if x.tag in BLOCK else "")
-                _text(x, out)
-                out.append("\0" if x.tag in BLOCK else "")
+        elif not x.drop and not x.marked and (x.tag in ("article", "main") or (x.density >= threshold and not _is_link_list(x))):
+            out.append("\0" if x.tag in BLOCK else "")
+            _text(x, out)
+            out.append("\0" if x.tag in BLOCK else "")
+        elif not x.drop and id(x) in around:
+            waiting.extend(["\0", *_children(x)[::-1], "\0"])
         else:
             out.append("\0" if x.tag in BLOCK else " ")
     blocks = (_BLANK.sub(" ", html.unescape(b)).strip() for b in "".join(out).split("\0"))

@@ -42,6 +42,14 @@ def test_links_inside_the_article_stay():
     assert html_text.extract(page).split("\n\n")[4:] == ["See Name of one, name of two"] + ["Name of one, name of two"] * 2
 
 
+def test_text_beside_and_in_other_articles():
+    assert html_text.extract(f"<body><main><h1>Title</h1><article>{STORY}</article><p>Beside</p></main></body>").split("\n\n")[::5] == ["Title", "Beside"]
+    two = f"<body><div><article>{STORY}</article></div><div><article><p>Second</p></article></div><div><article class=related><p>Other</p></article></div></body>"
+    assert html_text.extract(two).split("\n\n")[4:] == ["Second"]
+    beside = f"<body><article>{STORY}</article><div>{STORY.replace('story', 'sequel')}</div></body>"
+    assert "sequel" in html_text.extract(beside)
+
+
 def test_deep_and_broken_markup():
     assert html_text.extract("<div>" * 5000 + "x" + "</b>" * 10 + "<") == "x <" or html_text.extract("<div>" * 5000 + "x").strip() == "x"
     assert html_text.extract("<p title='" * 2000) == ""
