@@ -1,14 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Four transducers read the classes of a clause's words and are composed into one machine:
+Five transducers read the classes of a clause's words and are composed into one machine:
 
+* threat: accepts an intent, a word of violence and a target, the last two in either order; such a word alone is nothing,
+* insult: accepts each insult and each learned word,
 * negation: a mark for a few words after a negation,
-* reported speech: a mark from a verb of saying or an opening quotation to the end of the clause,
-* target: a mark from a word for a person on,
-* insult and threat: adds the weight of each such word times the factors of the marks it stands under.
+* reported speech: a mark from a verb of saying to the end of the clause,
+* target: a mark from a word for a person on, for insults and learned words.
 
-Clauses end at ``. ! ? ; :`` and line ends. A text's score comes from its matched clauses alone: a logistic function
-of the logarithm of their weights' sum and of the heaviest. Words that carry weight are a short list and what is
+What is accepted adds its weight times the factors of the marks it stands under. Clauses end at ``. ! ? ; :`` and line ends.
+A text's score comes from its matched clauses: a logistic function of the logarithms of the heaviest and of the weight
+per clause of the text, neither of which grows with its length. Words that carry weight are a short list and what is
 learned: whole words and word beginnings (``PREFIXES`` bytes) in at least ``LEAST_TEXTS`` toxic training texts, whose log
 odds between toxic and other ones pass ``LEAST_ODDS``. A learned word weighs the lower confidence bound of its log odds
 (``DEVIATIONS`` standard errors below), so rare words weigh less; words with a bound of zero or less are left out. The fit uses at most ``SAMPLE_ROWS`` labelled rows,
@@ -41,33 +43,54 @@ LEAST_TEXTS = 4
 DEVIATIONS = 1.645
 THRESHOLD = 0.7
 
-OTHER, HARM, TARGET, NEGATION, REPORT = range(5)
+SYMBOLS = 10
+OTHER, HARM, TARGET, NEGATION, REPORT, INTENT, VIOLENCE, LEARNED, INSULT, THREAT = range(SYMBOLS)
 LISTS = {
-    HARM: "idiot idiots moron morons stupid loser losers scum trash worthless pathetic disgusting imbecile kill hurt destroy strangle",
+    HARM: "idiot idiots moron morons stupid loser losers scum trash worthless pathetic disgusting imbecile",
+    VIOLENCE: "kill hurt destroy strangle",
+    INTENT: "will ll gonna going want must should werde werden wird vais va veux voy vamos quiero",
     TARGET: "you your yourself he she him her they them du dich ihr euch sie tu te vous toi usted ustedes ellos",
     NEGATION: "not no never isn aren don nicht kein keine pas jamais nunca tampoco",
     REPORT: "said says called calls wrote reported quoted claimed sagte schrieb dit écrit dijo escribió",
 }
 LIST_WEIGHT = 2.0
 NEGATED, REPORTED, TARGETED = 0.5, 0.5, 1.5
+THREAT_WEIGHT = LIST_WEIGHT * TARGETED
 NEGATION_REACH = 3
+#: What the first two machines accept.
+ACCEPTED = (INSULT, LEARNED, THREAT)
 
-#: A transducer: (state, symbol) -> (state, symbol passed on, factor of a HARM word). State 0 is the first.
+#: A transducer: (state, symbol) -> (state, symbol passed on, factor of an accepted word). State 0 is the first.
 Transducer = dict[tuple[int, int], tuple[int, int, float]]
 
 
+def _threat() -> Transducer:
+    """States: nothing, intent, intent and violence, intent and target. A violence word is passed on as any other."""
+    table = {(state, symbol): (state, OTHER if symbol == VIOLENCE else symbol, 1.0) for state in range(4) for symbol in range(SYMBOLS)}
+    for state in range(4):
+        table[state, INTENT] = max(state, 1), INTENT, 1.0
+    table[1, VIOLENCE] = 2, OTHER, 1.0
+    table[1, TARGET] = 3, TARGET, 1.0
+    table[2, TARGET] = table[3, VIOLENCE] = 0, THREAT, 1.0
+    return table
+
+
+def _insult() -> Transducer:
+    return {(0, symbol): (0, INSULT if symbol == HARM else symbol, 1.0) for symbol in range(SYMBOLS)}
+
+
 def _negation() -> Transducer:
     table = {}
     for state in range(NEGATION_REACH + 1):
-        for symbol in range(5):
+        for symbol in range(SYMBOLS):
             after = NEGATION_REACH if symbol == NEGATION else max(0, state - 1)
-            table[state, symbol] = after, symbol, NEGATED if symbol == HARM and state else 1.0
+            table[state, symbol] = after, symbol, NEGATED if symbol in ACCEPTED and state else 1.0
     return table
 
 
-def _switch(on: int, factor: float) -> Transducer:
-    """After the symbol ``on`` every HARM word has the factor, to the end of the clause."""
-    return {(state, symbol): (1 if symbol == on else state, symbol, factor if symbol == HARM and state else 1.0) for state in (0, 1) for symbol in range(5)}
+def _switch(on: int, factor: float, of: tuple[int, ...] = ACCEPTED) -> Transducer:
+    """After the symbol ``on`` every word of ``of`` has the factor, to the end of the clause."""
+    return {(state, symbol): (1 if symbol == on else state, symbol, factor if symbol in of and state else 1.0) for state in (0, 1) for symbol in range(SYMBOLS)}
 
 
 def compose(first: Transducer, second: Transducer) -> Transducer:
@@ -75,7 +98,7 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     number, table, waiting = {(0, 0): 0}, {}, [(0, 0)]
     while waiting:
         pair = waiting.pop()
-        for symbol in range(5):
+        for symbol in range(SYMBOLS):
             a, out, x = first[pair[0], symbol]
             b, out, y = second[pair[1], out]
             if (a, b) not in number:
@@ -85,7 +108,7 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return table
 
 
-GRAMMAR = compose(compose(_negation(), _switch(REPORT, REPORTED)), _switch(TARGET, TARGETED))
+GRAMMAR = compose(compose(compose(compose(_threat(), _insult()), _negation()), _switch(REPORT, REPORTED)), _switch(TARGET, TARGETED, (INSULT, LEARNED)))
 
 
 @dataclass
@@ -106,7 +129,7 @@ def lexicon(learned: list[tuple[int, int, float]]) -> Lexicon:
             table[int(h)] = kind, LIST_WEIGHT if kind == HARM else 0.0
     for size, h, weight in learned:
         if size == 0:
-            table[h] = HARM, weight
+            table[h] = LEARNED, weight
     order = sorted(table)
     prefixes = {}
     for size in PREFIXES:
@@ -126,6 +149,14 @@ _STOP = np.zeros(256, bool)
 _STOP[[*b".!?;:\n\r"]] = True
 
 
+def _ends(piece: words.Piece) -> np.ndarray:
+    """Which words are the last of their clause."""
+    stops = np.concatenate([[0], np.cumsum(_STOP[piece.data])])
+    ends = np.ones(len(piece.hash), bool)
+    ends[:-1] = (stops[piece.start[1:]] > stops[piece.end[:-1]]) | (piece.row[1:] != piece.row[:-1])
+    return ends
+
+
 def clause_scores(piece: words.Piece, lex: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text: sum of the weights of matched clauses, the heaviest, and their number."""
     n = piece.hi - piece.lo
@@ -140,20 +171,20 @@ def clause_scores(piece: words.Piece, lex: Lexicon) -> tuple[np.ndarray, np.ndar
         hit, at = _find(table, h)
         place, heavier = place[hit], weights[at[hit]] if len(weights) else np.zeros(0)
         better = heavier > weight[place]
-        symbol[place[better]], weight[place[better]] = HARM, heavier[better]
-    harm = np.flatnonzero(symbol == HARM)
+        symbol[place[better]], weight[place[better]] = LEARNED, heavier[better]
+    harm = np.flatnonzero(np.isin(symbol, (HARM, VIOLENCE, LEARNED)))
     if not len(harm):
         return total, most, matched
-    stops = np.concatenate([[0], np.cumsum(_STOP[piece.data])])
-    ends = np.ones(len(symbol), bool)
-    ends[:-1] = (stops[piece.start[1:]] > stops[piece.end[:-1]]) | (piece.row[1:] != piece.row[:-1])
-    first = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    first = np.concatenate([[0], np.flatnonzero(_ends(piece)) + 1])
     for c in np.unique(np.searchsorted(first, harm, "right") - 1).tolist():
         a, b = int(first[c]), int(first[c + 1])
         state, sum_ = 0, 0.0
         for s, w in zip(symbol[a:b].tolist(), weight[a:b].tolist()):
-            state, _, factor = GRAMMAR[state, s]
-            sum_ += w * factor
+            state, out, factor = GRAMMAR[state, s]
+            if out in ACCEPTED:
+                sum_ += (THREAT_WEIGHT if out == THREAT else w) * factor
+        if not sum_:
+            continue
         row = piece.row[a]
         total[row] += sum_
         most[row] = max(most[row], sum_)
@@ -202,12 +233,19 @@ def learn_terms(sample: DataFrame, n_toxic: int, n_other: int) -> list[tuple[int
     return [(r["size"], r["hash"] % (1 << 64), r["bound"]) for r in best.collect()]
 
 
-def _features(total: np.ndarray, most: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(most)], axis=1)
+def evidence(piece: words.Piece, lex: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: weight of the heaviest clause, weight per clause, and the number of matched clauses."""
+    total, most, matched = clause_scores(piece, lex)
+    clauses = np.bincount(piece.row[_ends(piece)], minlength=len(total)) if len(piece.hash) else np.zeros(len(total))
+    return most, total / np.maximum(clauses, 1), matched
+
+
+def _features(most: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones(len(most)), np.log1p(most), np.log1p(rate)], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Coefficients by Newton steps under a small ridge; the slopes stay positive or zero."""
+    """Coefficients by Newton steps under a small ridge."""
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -233,13 +271,20 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, rows:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in words.pieces(batch["text"], words.ALNUM, lower=True):
-                total, most, _ = clause_scores(piece, sent.value)
-                yield pa.RecordBatch.from_arrays([pa.array(total), pa.array(most), batch["toxic"].slice(piece.lo, piece.hi - piece.lo)], ["total", "most", "toxic"])
-
-    scored = sample.mapInArrow(step, "total double, most double, toxic long").toArrow()
-    total, most, toxic = (np.asarray(scored[c], dtype=float) for c in ("total", "most", "toxic"))
-    slope = _logistic(_features(total, np.zeros(len(total)))[:, :2], (toxic > 0).astype(float))
-    return lex, np.array([slope[0], max(slope[1], 0.0), 0.0])
+                most, rate, _ = evidence(piece, sent.value)
+                yield pa.RecordBatch.from_arrays([pa.array(most), pa.array(rate), batch["toxic"].slice(piece.lo, piece.hi - piece.lo)], ["most", "rate", "toxic"])
+
+    scored = sample.mapInArrow(step, "most double, rate double, toxic long").toArrow()
+    most, rate, toxic = (np.asarray(scored[c], dtype=float) for c in ("most", "rate", "toxic"))
+    x, y = _features(most, rate), (toxic > 0).astype(float)
+    beta = _logistic(x, y)
+    for lone, other in ((1, 2), (2, 1)):
+        if beta[other] < 0:  # slopes stay positive or zero
+            beta = np.zeros(3)
+            beta[[0, lone]] = _logistic(x[:, [0, lone]], y)
+            beta[lone] = max(beta[lone], 0.0)
+            break
+    return lex, beta
 
 
 def apply(docs: DataFrame, model: tuple[Lexicon, np.ndarray], carry: list[str]) -> DataFrame:
@@ -251,8 +296,8 @@ def apply(docs: DataFrame, model: tuple[Lexicon, np.ndarray], carry: list[str])
         for batch in batches:
             column = batch["text"] if "text" in batch.schema.names else batch["doc"].field("text")
             for piece in words.pieces(column, words.ALNUM, lower=True):
-                total, most, matched = clause_scores(piece, lex)
-                score = 1 / (1 + np.exp(-np.clip(_features(total, most) @ beta, -30, 30)))
+                most, rate, matched = evidence(piece, lex)
+                score = 1 / (1 + np.exp(-np.clip(_features(most, rate) @ beta, -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch["doc"].slice(piece.lo, piece.hi - piece.lo), pa.array(score), pa.array(matched)], ["doc", "score", "clauses"])
 
     # A text that is carried is not sent a second time.

@@ -89,6 +89,22 @@ def test_grammar():
     assert scores("und loweihr lowe", [(4, stem, 5.0)]) == (5.0, 1)
 
 
+def test_threats_need_intent_violence_and_target():
+    assert scores("kill the process") == scores("they will kill the process") == scores("you kill") == (0, 0)
+    assert scores("I will kill you") == scores("ich werde dich kill") == (toxicity.THREAT_WEIGHT, 1)
+    assert scores("I will not kill you") == (toxicity.THREAT_WEIGHT * toxicity.NEGATED, 1)
+    assert scores("he said I will kill you") == (toxicity.THREAT_WEIGHT * toxicity.REPORTED, 1)
+
+
+def test_length_alone_makes_no_text_toxic():
+    import pyarrow as pa
+
+    text = "Put it into the trash. A fine day. All is well. "
+    (piece,) = words.pieces(pa.array([text, text * 2000]), words.ALNUM, lower=True)
+    most, rate, _ = toxicity.evidence(piece, toxicity.lexicon([]))
+    assert most[0] == most[1] and abs(rate[0] - rate[1]) < 1e-9
+
+
 def test_composition_is_the_product():
     assert len(toxicity.GRAMMAR) % 5 == 0 and all((state, symbol) in toxicity.GRAMMAR for state, _, _ in toxicity.GRAMMAR.values() for symbol in range(5))
 
