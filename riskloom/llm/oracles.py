@@ -75,7 +75,33 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
 """
 
+#: One assignment of every part (r: part, position, number of entry j, components c) and one mean per entry.
+CODES_ROUND = """
+a{r} AS MATERIALIZED (SELECT v.i, v.p, arg_min(b.j, (list_sum(list_transform(range(1, len(v.c) + 1), lambda k: (v.c[k] - b.c[k]) * (v.c[k] - b.c[k]))), b.j)) AS j
+  FROM v JOIN b{r} b USING (p) GROUP BY v.i, v.p)"""
+CODES_MEAN = """
+s{r} AS (SELECT a.p, a.j, k, sum(v.c[k]) AS s, count(*) AS n FROM a{r} a JOIN v USING (i, p), unnest(range(1, len(v.c) + 1)) AS u(k) GROUP BY ALL),
+b{next} AS MATERIALIZED (SELECT b.p, b.j, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN
+  (SELECT p, j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS c FROM s{r} GROUP BY p, j) m ON m.p = b.p AND m.j = b.j)"""
+
+VECTOR_CODES = f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS i, vec_id, label, x FROM
+  (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)),
+v AS MATERIALIZED (SELECT i, p, x[p * (len(x) // 8) + 1 : (p + 1) * (len(x) // 8)] AS c FROM e, unnest(range(0, 8)) AS u(p)),
+b0 AS MATERIALIZED (SELECT p, i - 1 AS j, c FROM v WHERE i <= 16),
+{",".join(CODES_ROUND.format(r=r) + "," + CODES_MEAN.format(r=r, next=r + 1) for r in range(6))},
+{CODES_ROUND.format(r=6)},
+d AS (SELECT a.i, a.p, a.j, list_sum(list_transform(range(1, len(v.c) + 1), lambda k: (v.c[k] - b.c[k]) * (v.c[k] - b.c[k]))) AS d
+  FROM a6 a JOIN v USING (i, p) JOIN b6 b ON b.p = a.p AND b.j = a.j),
+f AS (SELECT i, string_agg(format('{{:02x}}', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM d GROUP BY i)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(x, ',' ORDER BY p, j, k)) FROM (SELECT p, j, k, CAST(c[k] AS VARCHAR) AS x FROM b6, unnest(range(1, len(c) + 1)) AS u(k))) AS codebooks_sha256
+FROM e JOIN f USING (i)
+"""
+
 ALL: dict[str, str] = {
+    "op12_vector_codes": VECTOR_CODES,
     "op9_minhash_dedup": NEAR_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op10_decontamination": DECONTAMINATION,

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontamination, exact_dedup, html_text, licences, minhash, mixing, ppm, secrets, substrings, toxicity
+from riskloom.llm import (
+    decontamination, exact_dedup, html_text, licences, minhash, mixing, ppm, secrets, substrings, toxicity, vector_codes, whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +55,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_substring_dedup, op3_secret_scan, op4_exact_dedup, op5_license_scan,
         op6_toxicity, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination,
+        op11_embedding_whitening, op12_vector_codes,
     )
 }
