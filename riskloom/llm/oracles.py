@@ -61,17 +61,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS
 FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
 """
 
-NEAR_DEDUP = rf"""
+#: Connected documents by shared word shingles: k words a shingle, percent of the union that two sets share.
+SIMILAR = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^ \t-\r]+') AS w FROM documents),
-g AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0),
-s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 3], ' ')) AS g FROM g),
+g AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - $more) + 1)) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + $more], ' ')) AS g FROM g),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= $percent * (x.n + y.n - common)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, comp) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.comp FROM r JOIN e ON e.a = r.node WHERE r.comp < e.b),
 c AS (SELECT node, min(comp) AS component_id FROM r GROUP BY node)
-SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id$columns
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
 """
 
@@ -100,7 +101,16 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM e JOIN f USING (i)
 """
 
+
+def similar(k: int, percent: int, columns: str = "") -> str:
+    return SIMILAR.replace("$more", str(k - 1)).replace("$percent", str(percent)).replace("$columns", columns)
+
+
+NEAR_DEDUP = similar(4, 80, ", d.doc_id = component_id AS kept")
+JACCARD_JOIN = similar(3, 90)
+
 ALL: dict[str, str] = {
+    "op13_ngram_jaccard_join": JACCARD_JOIN,
     "op12_vector_codes": VECTOR_CODES,
     "op9_minhash_dedup": NEAR_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
-    decontamination, exact_dedup, html_text, licences, minhash, mixing, ppm, secrets, substrings, toxicity, vector_codes, whitening,
+    decontamination, exact_dedup, html_text, licences, minhash, mixing, ppm, secrets, set_join, substrings, toxicity,
+    vector_codes, whitening,
 )
 
 
@@ -63,11 +64,15 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_substring_dedup, op3_secret_scan, op4_exact_dedup, op5_license_scan,
         op6_toxicity, op7_lm_scoring, op8_source_mixing, op9_minhash_dedup, op10_decontamination,
-        op11_embedding_whitening, op12_vector_codes,
+        op11_embedding_whitening, op12_vector_codes, op13_ngram_jaccard_join,
     )
 }

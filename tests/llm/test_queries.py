@@ -18,4 +18,4 @@ def test_same_rows(spark, name):
 
 
 def test_one_query_for_each_number():
-    assert [int(n[2:].split("_")[0]) for n in queries.ALL] == list(range(1, 13))
+    assert [int(n[2:].split("_")[0]) for n in queries.ALL] == list(range(1, 14))
