@@ -1,6 +1,6 @@
 """Command line: ``spark-submit riskloom/jobs.py --root URL --stage preprocess --stage features ...``.
 
-The stages ``score`` and ``monitor`` are streams: they run until stopped (or ``--once``) and go on where they
+The stages ``score``, ``monitor`` and ``watch`` are streams: they run until stopped (or ``--once``) and go on where they
 left off when started again.
 """
 
@@ -13,7 +13,7 @@ from riskloom.operators.model import ForestSettings
 from riskloom.plans import stages
 from riskloom.session import build_session
 
-STAGES = ["ingest", "preprocess", "features", "training", "drift", "score", "monitor"]
+STAGES = ["ingest", "preprocess", "features", "training", "drift", "score", "monitor", "watch"]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -21,7 +21,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder on shared storage")
     parser.add_argument("--stage", action="append", choices=STAGES, required=True, help="may be given several times")
     parser.add_argument("--csv", help="raw CSV for the ingest stage")
-    parser.add_argument("--live", help="folder of live JSON records for the drift stage")
+    parser.add_argument("--live", help="folder of live JSON records for the drift and watch stages")
     parser.add_argument("--requests", help="folder of JSON requests, one a line, for the score stage")
     parser.add_argument("--log", help="folder of the prediction log (Parquet) for the monitor stage")
     parser.add_argument("--once", action="store_true", help="streams: stop when the data at hand are done")
@@ -34,7 +34,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--trees", type=int, default=how.forest.trees)
     parser.add_argument("--depth", type=int, default=how.forest.depth)
     args = parser.parse_args(argv)
-    for stage, name in (("ingest", "csv"), ("drift", "live"), ("score", "requests"), ("monitor", "log")):
+    for stage, name in (("ingest", "csv"), ("drift", "live"), ("score", "requests"), ("monitor", "log"), ("watch", "live")):
         if stage in args.stage and not getattr(args, name):
             parser.error(f"--stage {stage} needs --{name}")
     spark = build_session("address-risk", args.master)
@@ -51,6 +51,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "drift": lambda: stages.drift_stage(spark, at, args.live, how).show(truncate=False),
         "score": lambda: stages.score_stage(spark, at, args.requests, how, once=args.once),
         "monitor": lambda: stages.monitor_stage(spark, at, args.log, once=args.once),
+        "watch": lambda: stages.watch_stage(spark, at, args.live, how, once=args.once),
     }
     for stage in STAGES:
         if stage in args.stage:

@@ -491,6 +491,53 @@ SELECT window_start, feature, round(missing_ratio, 6) AS missing_ratio, round(me
 FROM totals JOIN psi USING (window_start, feature)"""
 
 
+ALL["stream_error_transitions"] = f"""WITH {LOG}, {EPISODES},
+settled AS (SELECT *, w - to_hours(row_number() OVER (PARTITION BY source ORDER BY w)) AS island
+  FROM counted WHERE errors / requests > 0.25 AND w + INTERVAL 1 HOUR <= {WATERMARK}),
+sofar AS (
+  SELECT source, min(w) OVER i AS started, w + INTERVAL 1 HOUR AS moment, count(*) OVER i AS windows,
+    CAST(sum(requests) OVER i AS BIGINT) AS requests, CAST(sum(errors) OVER i AS BIGINT) AS errors,
+    row_number() OVER (PARTITION BY source, island ORDER BY w DESC) AS place
+  FROM settled WINDOW i AS (PARTITION BY source, island ORDER BY w)
+)
+SELECT source, 'open' AS transition, started, moment, windows, requests, errors FROM sofar WHERE windows = 3
+UNION ALL SELECT source, 'closed', started, moment, windows, requests, errors FROM sofar
+WHERE place = 1 AND windows >= 3 AND moment + INTERVAL 1 HOUR <= {WATERMARK}"""
+
+ALL["stream_down_transitions"] = f"""WITH {LOG},
+settled AS (SELECT * FROM log WHERE time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE <= {WATERMARK}),
+marks AS (
+  SELECT source, ts, 1 AS rank FROM settled WHERE is_error = 0
+  UNION ALL SELECT source, min(ts), 0 FROM settled GROUP BY source
+),
+stretches AS (SELECT source, ts AS down_from, lead(ts) OVER (PARTITION BY source ORDER BY ts, rank) AS up FROM marks)
+SELECT source, 'closed' AS transition, down_from, up AS moment FROM stretches WHERE up >= down_from + INTERVAL 10 MINUTE
+UNION ALL SELECT source, 'open', down_from, down_from + INTERVAL 10 MINUTE FROM stretches
+WHERE up >= down_from + INTERVAL 10 MINUTE
+  OR (up IS NULL AND time_bucket(INTERVAL 10 MINUTE, down_from + INTERVAL 10 MINUTE) + INTERVAL 10 MINUTE <= {WATERMARK})"""
+
+ALL["stream_late_counters"] = f"""WITH {LOG},
+mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM log WHERE event_id % 2 = 0)
+SELECT date_trunc('hour', ts) AS window_start, count(*) AS requests, count(*) FILTER (is_error = 1) AS errors,
+  count(*) FILTER (is_error = 0 AND prediction = 'ransomware') AS ransomware,
+  count(*) FILTER (is_error = 0 AND prediction = 'clean') AS clean,
+  count(*) FILTER (event_id % 2 <> 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark) AS late,
+  count(latency_seconds) AS observations, round(sum(latency_seconds), 6) AS total_seconds
+FROM log, mark GROUP BY 1"""
+
+# The drift of one run: its reference rows and the live rows that came while it was current.
+def _drift_of_run(reference: str, live: str) -> str:
+    of_run = f"of_run AS (SELECT * FROM addr WHERE {reference}), {profiled('of_run')}"
+    moved = ALL["stream_drift"].replace("round(mean, 6)", "round(mean + 1e-8, 6)").replace("round(std, 6)", "round(std + 1e-8, 6)")
+    return moved.replace(f"WITH {ADDR},", "WITH").replace(profiled("addr"), of_run).replace("AS ts FROM addr)", f"AS ts FROM addr WHERE {live})")
+
+
+ALL["stream_drift_runs"] = f"""WITH {ADDR},
+run_1 AS ({_drift_of_run("true", "address % 3 <> 0")}),
+run_2 AS ({_drift_of_run("address % 2 = 0", "address % 3 = 0")})
+SELECT 'run-1' AS run_id, * FROM run_1 UNION ALL SELECT 'run-2', * FROM run_2"""
+
+
 # A label that one feature decides: the forest's answers are that label.
 SEPARABLE = ADDR + """,
 separable AS (SELECT * EXCLUDE (label), CASE WHEN count >= 5 THEN 'many-lines' ELSE 'white' END AS label FROM addr)"""

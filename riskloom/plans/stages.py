@@ -1,4 +1,4 @@
-"""The stages, each from tables at rest to tables at rest; the last two are streams."""
+"""The stages, each from tables at rest to tables at rest; the last three are streams."""
 
 from __future__ import annotations
 
@@ -17,10 +17,10 @@ from riskloom.operators.model import ForestSettings, Trained, train
 from riskloom.operators.profile import profile
 from riskloom.operators.runs import resolve_run
 from riskloom.operators.zscore import apply_state, fit_state
-from riskloom.schemas import MONITORED_FEATURES, NUM_FOLDS, PREDICTION_LOG, RAW, RUN_NAME, SEED, TEST_FRACTION
+from riskloom.schemas import LIVE, MONITORED_FEATURES, NUM_FOLDS, PREDICTION_LOG, RAW, RUN_NAME, SEED, TEST_FRACTION
 from riskloom.sources import tables
-from riskloom.streaming import monitor, scoring
-from riskloom.streaming.sinks import start_versions
+from riskloom.streaming import counters, live_drift, monitor, scoring, transitions
+from riskloom.streaming.sinks import LateRows, start_appends, start_versions
 
 
 @dataclass(frozen=True)
@@ -97,19 +97,41 @@ def drift_stage(spark: SparkSession, at: Layout, live_path: str, how: Settings =
 
 
 def score_stage(spark: SparkSession, at: Layout, requests_path: str, how: Settings = Settings(), **trigger) -> None:
-    """Score JSON requests as they come, with the run that is current at each micro-batch."""
+    """Score JSON requests as they come, with the run that is current at each micro-batch.
+
+    A body may name its request in ``request_id``; one delivered again is scored once.
+    """
     bodies = spark.readStream.text(requests_path).withColumnRenamed("value", "body")
+    named = bodies.withColumn("request_id", F.get_json_object("body", "$.request_id"))
     artifacts = scoring.current_artifacts(spark, at.at("run-log"), how.run_name)
-    scoring.start_scoring(bodies, artifacts, at.at("scored"), at.at("rejected"), ["body"], **trigger).awaitTermination()
+    scoring.start_scoring(counters.once(named, "request_id").select("body"), artifacts, at.at("scored"), at.at("rejected"), ["body"], **trigger).awaitTermination()
 
 
 def monitor_stage(spark: SparkSession, at: Layout, log_path: str, **trigger) -> None:
-    """Request and latency windows, and the windows that alert states are read from."""
+    """Request counters, alerts, and the windows that alert states are read from.
+
+    ``request-totals`` counts every request once, late ones too. ``error-transitions`` and ``down-transitions`` get a
+    row when an alert opens and one when it ends. Rows that come too late for windows and alerts are counted per micro-batch.
+    """
     log = spark.readStream.schema(PREDICTION_LOG).parquet(log_path)
-    streams = {
+    windows = {
         "request-windows": monitor.windowed_requests(log), "latency-windows": monitor.windowed_latency(log),
         "error-counts": monitor.windowed_errors(log), "sample-windows": monitor.windowed_samples(log),
     }
-    running = [start_versions(stream, at.at(name), **trigger) for name, stream in streams.items()]
+    raised = {"error-transitions": transitions.error_transitions(log), "down-transitions": transitions.down_transitions(log)}
+    names = [*windows, *raised]
+    late = LateRows(spark, [at.at(name) for name in names])
+    spark.streams.addListener(late)
+    running = [start_versions(stream, at.at(name), name=at.at(name), **trigger) for name, stream in windows.items()]
+    running += [start_appends(stream, at.at(name), name=at.at(name), **trigger) for name, stream in raised.items()]
+    running.append(counters.start_counting(counters.once(log, "event_id"), at.at("request-totals"), **trigger))
     for query in running:
         query.awaitTermination()
+    late.finish(len(names))
+
+
+def watch_stage(spark: SparkSession, at: Layout, live_path: str, how: Settings = Settings(), **trigger) -> None:
+    """Drift of live records per hour while they come in, against the profile of the run that is current then."""
+    live = spark.readStream.schema(LIVE).json(live_path)
+    reference = live_drift.current_profile(spark, at.at("run-log"), how.run_name)
+    live_drift.start_drift(live, reference, at.at("live-drift"), how.features, **trigger).awaitTermination()

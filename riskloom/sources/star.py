@@ -134,9 +134,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Address rows as live records with an event time."""
-    rows = addr(spark, sf_dir)
+    return dated_addr(spark, sf_dir).drop("address")
+
+
+def dated_addr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Address and live record."""
     start = F.make_timestamp_ntz(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    return rows.select(
-        (start + F.make_dt_interval(F.col("day") - 1)).cast("timestamp").alias("timestamp"),
+    return addr(spark, sf_dir).select(
+        "address", (start + F.make_dt_interval(F.col("day") - 1)).cast("timestamp").alias("timestamp"),
         "income", "neighbors", "weight",
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
 from riskloom.session import at_rest, remove
@@ -22,25 +23,33 @@ def checkpoint_of(path: str) -> str:
 
 
 LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+#: What a query takes from the session when it starts. Keyed state with timers needs the disk-based state store.
+OF_QUERY = {
+    LOCAL_SESSIONS: "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 def start(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str, checkpoint: str,
-    once: bool = True, every: str = "1 minute",
+    once: bool = True, every: str = "1 minute", name: str | None = None,
 ) -> StreamingQuery:
     """Start ``handle`` on each micro-batch; ``once`` stops when the data at hand are done.
 
-    Sessions are merged inside each task before the shuffle, whatever the session says: a query takes
-    a copy of the settings when it starts.
+    Sessions are merged inside each task before the shuffle and state is kept on disk, whatever the session says: a
+    query takes a copy of the settings when it starts.
     """
     conf = stream.sparkSession.conf
-    before = conf.get(LOCAL_SESSIONS, None)
-    conf.set(LOCAL_SESSIONS, "true")
+    before = {setting: conf.get(setting, None) for setting in OF_QUERY}
+    for setting, value in OF_QUERY.items():
+        conf.set(setting, value)
     try:
         writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
+        writer = writer.queryName(name) if name else writer
         return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
     finally:
-        conf.unset(LOCAL_SESSIONS) if before is None else conf.set(LOCAL_SESSIONS, before)
+        for setting, value in before.items():
+            conf.unset(setting) if value is None else conf.set(setting, value)
 
 
 def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
@@ -52,6 +61,46 @@ def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(rows, "batch long, dropped long").where("dropped > 0")
 
 
+class LateRows(StreamingQueryListener):
+    """Writes the rows that each micro-batch left behind the watermark to ``<path>-late``, while its stream runs.
+
+    Streams are known by their name, which is the path they write to. A folder per micro-batch is overwritten when that
+    is run again. ``counters`` counts late rows with the batch itself; this is for streams whose state drops them.
+    """
+
+    def __init__(self, spark: SparkSession, paths: Sequence[str]):
+        self.spark, self.paths, self.ended = spark, set(paths), threading.Semaphore(0)
+        self.names: dict[str, str] = {}
+
+    def onQueryStarted(self, event) -> None:
+        if event.name in self.paths:
+            self.names[str(event.runId)] = event.name
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        if progress.name in self.paths and dropped:
+            rows = self.spark.createDataFrame([(dropped,)], "dropped long")
+            rows.coalesce(1).write.mode("overwrite").parquet(batch_path(late_path(progress.name), progress.batchId))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if self.names.pop(str(event.runId), None):
+            self.ended.release()
+
+    def finish(self, queries: int, seconds: float = 60) -> None:
+        """Wait until all that was reported of so many ended streams is written, and stop listening."""
+        for _ in range(queries):
+            self.ended.acquire(timeout=seconds)
+        self.spark.streams.removeListener(self)
+
+
+def late_path(path: str) -> str:
+    return f"{path.rstrip('/')}-late"
+
+
 def start_versions(stream: DataFrame, path: str, **how) -> StreamingQuery:
     """Write changed groups of a windowed aggregate, one folder per micro-batch.
 
