@@ -370,17 +370,19 @@ def block_pairs(hubs: DataFrame, others: DataFrame, percent: int) -> DataFrame:
                 pairs = [s.field("name").take(pa.array(np.concatenate(x).astype(np.int64))) for s, x in zip(sides, (left, right))]
                 yield pa.RecordBatch.from_arrays(pairs, ["x", "y"])
 
-    joined = hubs.join(others, ["key", "i", "j"]).select("hubs", "others")
+    joined = hubs.select("key", "i", "j", "hubs").join(others.select("key", "i", "j", "others"), ["key", "i", "j"]).select("hubs", "others")
     return joined.mapInArrow(step, "x binary, y binary").select(*pairs_of("x", "y")).distinct()
 
 
-def blocks(rows: DataFrame, facts: DataFrame, name: str) -> DataFrame:
+def blocks(rows: DataFrame, facts: DataFrame, name: str, block: str, parts: str) -> DataFrame:
+    """The members of a key in blocks, one row each, dealt by hash over as many as ``parts`` says."""
     fact = F.struct("name", "comp", "indexed", "probing", "n", "parity")
-    return rows.join(facts, "name").groupBy("key", "i", "j").agg(F.collect_list(fact).alias(name))
+    dealt = rows.withColumn(block, F.pmod(F.xxhash64("name"), F.col(parts)))
+    return dealt.join(facts, "name").groupBy("key", block, "across", "down").agg(F.collect_list(fact).alias(name))
 
 
-def spread_over(parts: str) -> Column:
-    return F.pmod(F.xxhash64("name"), F.col(parts))
+def upto(number: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(number) - 1))
 
 
 class Join:
@@ -469,10 +471,9 @@ class Join:
             parts = lambda n: F.ceil(F.col(n) / BLOCK)
             crowds = hubs.groupBy("key").agg(F.max("size").alias("size"), F.count("*").alias("hubs")).select("key", "size", parts("hubs").alias("across"), parts("size").alias("down"))
             crowds = self.rest(crowds, "crowds")
-            upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-            left = with_keys(hubs.drop("size"), crowds).withColumn("i", spread_over("across")).withColumn("j", upto("down"))
-            right = with_keys(live.drop("size"), crowds).withColumn("j", spread_over("down")).withColumn("i", upto("across"))
-            near = block_pairs(blocks(left, self.facts, "hubs"), blocks(right, self.facts, "others"), self.percent)
+            left = blocks(with_keys(hubs.drop("size"), crowds), self.facts, "hubs", "i", "across").select("*", upto("down").alias("j"))
+            right = blocks(with_keys(live.drop("size"), crowds), self.facts, "others", "j", "down").select("*", upto("across").alias("i"))
+            near = block_pairs(left, right, self.percent)
             rounds += 1
             pairs = self.rest(near.join(tested, ["a", "b"], "left_anti"), f"tested-{rounds}")
             tested = tested.unionByName(pairs)
