@@ -270,6 +270,8 @@ SELECT CAST(make_date(coalesce(year, 2009), 1, 1) AS TIMESTAMP) AS timestamp, in
   CAST(neighbors AS DOUBLE) AS neighbors, weight
 FROM addr_dirty"""
 
+ALL["live_json_array"] = ALL["live_json"]
+
 ALL["clean_fill"] = f"WITH {DIRTY}, {filled('addr_dirty')} SELECT * EXCLUDE (address) FROM filled"
 
 ALL["class_counts"] = f"""WITH {DIRTY}
@@ -294,6 +296,8 @@ SELECT * EXCLUDE (label), {LOGS}, {RATIOS}, {CALENDAR} FROM clamped"""
 ALL["zscore_state"] = f"""WITH {DIRTY}, {filled('addr_dirty')}, {clamp_cte('filled')}, {state('clamped')}
 SELECT scope, year, round(mean, 6) AS mean, round(std, 6) AS std FROM state"""
 
+ALL["zscore_state_merged"] = ALL["zscore_state"]
+
 ALL["zscore_apply"] = f"""WITH {ADDR}, {state('addr')}, {zscored('addr')}
 SELECT address, year, income, round(income_z, 6) AS income_z, round(income_z_by_year, 6) AS income_z_by_year
 FROM zscored"""
@@ -311,6 +315,44 @@ SELECT is_ransomware, CAST(day AS DOUBLE) AS day, round(weight, 6) AS weight, co
   round(income_z, 6) AS income_z, round(income_z_by_year, 6) AS income_z_by_year
 FROM zscored"""
 
+# Some rows without a label, as the stages get them.
+MASKED = ADDR + """,
+masked AS (SELECT * REPLACE (CASE WHEN address % 13 <> 0 THEN label END AS label) FROM addr)"""
+ALL["stage_features"] = ALL["feature_table"].replace(ADDR, MASKED).replace(balanced("addr"), balanced("masked"))
+ALL["stage_rows"] = f"""WITH {MASKED},
+counted AS (SELECT count(*) AS n, count(*) FILTER (label IS NULL) AS unlabelled, 2 * count(*) FILTER (label <> 'white') AS balanced FROM masked)
+SELECT 'ingest' AS stage, n AS read, unlabelled, n AS kept FROM counted
+UNION ALL SELECT 'preprocess', n, unlabelled, balanced FROM counted UNION ALL SELECT 'features', balanced, NULL, balanced FROM counted"""
+
+# Three loads: rows of each class so far, and the places of the new ones among themselves.
+LOADS = f"""
+classed AS (SELECT address, address % 3 AS load, CASE WHEN label <> 'white' THEN 1 ELSE 0 END AS is_ransomware FROM addr),
+loads AS (SELECT load, is_ransomware, count(*) AS own FROM classed GROUP BY 1, 2),
+sofar AS (SELECT load, is_ransomware, CAST(sum(own) OVER (PARTITION BY is_ransomware ORDER BY load) AS BIGINT) AS n FROM loads),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY load, is_ransomware ORDER BY {row_hash('address')}, address) AS rk FROM classed
+)"""
+ALL["split_of_loads"] = f"""WITH {ADDR}, {LOADS},
+sizes AS (SELECT *, CAST(sum(n) OVER (PARTITION BY load) AS BIGINT) AS total FROM sofar),
+training AS (SELECT *, total - CAST(ceil(total * 0.2::DOUBLE) AS BIGINT) AS train FROM sizes),
+shares AS (SELECT *, train * n // total AS whole, train * n % total AS rest FROM training),
+granted AS (
+  SELECT load, is_ransomware, n - whole - CASE WHEN row_number() OVER (PARTITION BY load ORDER BY rest DESC, is_ransomware)
+    <= train - sum(whole) OVER (PARTITION BY load) THEN 1 ELSE 0 END AS n_test
+  FROM shares
+),
+added AS (SELECT load, is_ransomware, n_test - coalesce(lag(n_test) OVER (PARTITION BY is_ransomware ORDER BY load), 0) AS n_test FROM granted)
+SELECT address, is_ransomware, CASE WHEN rk <= n_test THEN 'test' ELSE 'train' END AS split
+FROM placed JOIN added USING (load, is_ransomware)"""
+ALL["folds_of_loads"] = f"""WITH {ADDR}, {LOADS},
+folds AS (
+  SELECT load, is_ransomware, fold, n // 3 + CASE WHEN fold < n % 3 THEN 1 ELSE 0 END AS size FROM sofar, range(3) f(fold)
+),
+added AS (SELECT *, size - coalesce(lag(size) OVER (PARTITION BY is_ransomware, fold ORDER BY load), 0) AS own FROM folds),
+ends AS (SELECT *, sum(own) OVER (PARTITION BY load, is_ransomware ORDER BY fold) AS upto FROM added)
+SELECT address, is_ransomware, CAST(fold AS INT) AS fold
+FROM placed JOIN ends USING (load, is_ransomware) WHERE rk <= upto AND rk > upto - own"""
+
 ALL["stratified_split"] = f"""WITH {ADDR},
 classed AS (SELECT address, CASE WHEN label <> 'white' THEN 1 ELSE 0 END AS is_ransomware FROM addr),
 sizes AS (SELECT is_ransomware, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM classed GROUP BY 1),
@@ -342,6 +384,8 @@ SELECT feature, n_rows AS rows, n, round((n_rows - n) / n_rows, 6) AS missing_ra
   round(std, 6) AS std, round(skew, 6) AS skew, num_bins, round(lo, 6) AS lo, round(hi, 6) AS hi
 FROM ref_stats"""
 
+ALL["profile_summary_merged"] = ALL["profile_summary"]
+
 ALL["profile_histogram"] = f"""WITH {DIRTY}, {profiled('addr_dirty')}
 SELECT feature, bin, n, round(e_hi, 6) AS upper_edge FROM ref_bins"""
 
@@ -558,6 +602,14 @@ placed AS (
 SELECT address, is_ransomware, is_ransomware AS pred, {_NAMED}
 FROM placed JOIN granted USING (is_ransomware) WHERE rk <= n_test"""
 
+ALL["rf_evaluation"] = f"""WITH held_out AS ({ALL["rf_scores"]}),
+rows AS (
+  SELECT CAST(is_ransomware AS VARCHAR) AS class, count(*) AS support FROM held_out GROUP BY 1
+  UNION ALL SELECT name, (SELECT count(*) FROM held_out) FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) n(name)
+)
+SELECT class, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, support FROM rows
+UNION ALL SELECT 'roc_auc', NULL, NULL, 1.0::DOUBLE, NULL"""
+
 ALL["rf_cross_validate"] = """
 SELECT CAST(fold AS INT) AS fold, split, metric, 1.0::DOUBLE AS value
 FROM range(3) f(fold), (VALUES ('train'), ('test')) s(split), (VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) m(metric)"""

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators import alerts, clean, drift, features, metrics, model, profile, requests, runs, sampling, zscore
+from riskloom.operators import alerts, clean, drift, features, growing, metrics, model, moments, observed, profile, requests, runs, sampling, zscore
 from riskloom.plans import stages
 from riskloom.schemas import DECISION_THRESHOLD, EPOCH_YEAR, FEATURE_COLUMNS, MONITORED_FEATURES, NUM_FOLDS, TARGET
 from riskloom.session import at_rest, new_path
-from riskloom.sources import star, tables
+from riskloom.sources import json_array, star, tables
 from riskloom.streaming import counters, live_drift, monitor, scoring, transitions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,15 @@ def live_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_live_json(spark, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def live_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live records out to files of one JSON array each, and in again by byte ranges."""
+    path = new_path(spark, "live-array")
+    rows = star.addr_dirty(spark, sf_dir)
+    at = F.make_timestamp(F.coalesce("year", F.lit(EPOCH_YEAR)), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("timestamp")
+    json_array.write_json_array(rows.select(at, *MONITORED_FEATURES), path, "income", files=4)
+    return tables.read_live_json(spark, path, one_array="ranges").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def clean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean(star.addr_dirty(spark, sf_dir))
 
@@ -105,6 +114,48 @@ def _fitted(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return tables.load_state(spark, path)
 
 
+def _loads(rows: DataFrame) -> list[DataFrame]:
+    """The rows as three loads that came one after the other."""
+    load = F.col("address") % 3
+    return [rows.where(load == i) for i in range(3)]
+
+
+def _moments_of_loads(spark: SparkSession, rows: DataFrame, columns: list[str]) -> DataFrame:
+    path = new_path(spark, "load-moments")
+    for load in _loads(rows):
+        moments.load_moments(load, columns).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def zscore_state_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state from the moments of three loads; equal to the one fitted on all rows."""
+    rows = at_rest(features.add_stateless(clean.fill_numeric(star.addr_dirty(spark, sf_dir))), "rows")
+    return rounded(moments.zscore_state(_moments_of_loads(spark, rows, ["income"])))
+
+
+def profile_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile's summary from the moments of three loads; equal to the one of all rows."""
+    return rounded(moments.profile_summary(_moments_of_loads(spark, at_rest(star.addr_dirty(spark, sf_dir), "rows"), MONITORED_FEATURES)))
+
+
+def _dealt_in_loads(spark: SparkSession, sf_dir: str, targets) -> DataFrame:
+    rows = star.addr(spark, sf_dir).select("address", clean.is_positive().alias(TARGET), (F.col("address") % 3).alias("load"))
+    rows, cuts = at_rest(rows, "rows"), spark.createDataFrame([], growing.CUTS)
+    for i, load in enumerate(_loads(rows)):
+        cuts = at_rest(cuts.unionByName(growing.deal_load(load, i, cuts, star.ROW_ID, targets)), "cuts")
+    return growing.apply_cuts(rows, cuts, star.ROW_ID).drop("load")
+
+
+def split_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and test of three loads, each dealt when it came."""
+    dealt = _dealt_in_loads(spark, sf_dir, growing.split_targets())
+    return dealt.select("address", TARGET, growing.named_split(F.col("segment")).alias("split"))
+
+
+def folds_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dealt_in_loads(spark, sf_dir, growing.fold_targets()).withColumnRenamed("segment", "fold")
+
+
 def zscore_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged_addr(spark, sf_dir).select("address", "year", "income")
     return rounded(zscore.apply_state(rows, _fitted(spark, rows)))
@@ -195,6 +246,27 @@ def drift_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stages.drift_stage(spark, at, at.at("live")))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> stages.Layout:
+    """The first stages, run over the raw rows as a CSV; some rows have no label."""
+    at, csv = stages.Layout(new_path(spark, "stages")), new_path(spark, "csv")
+    unlabelled = F.when(F.col("address").cast("long") % 13 != 0, F.col("label"))
+    star.raw(spark, sf_dir).withColumn("label", unlabelled).write.option("header", True).csv(csv)
+    stages.ingest(spark, at, csv)
+    stages.preprocess_stage(spark, at, stages.Settings(key=star.ROW_ID))
+    stages.feature_stage(spark, at)
+    return at
+
+
+def stage_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stages write, from CSV to the feature table."""
+    return rounded(features.align(tables.read_table(spark, _staged(spark, sf_dir).at("features")), FEATURE_COLUMNS, [TARGET]))
+
+
+def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each stage read, that had no label, and that it kept, counted on the way."""
+    return observed.newest(tables.read_table(spark, _staged(spark, sf_dir).at(stages.STAGE_ROWS))).drop("ended")
+
+
 # Classifier metrics
 
 
@@ -385,6 +457,15 @@ def rf_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.cross_validate(folded, FEATURE_COLUMNS))
 
 
+def rf_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report and area under the curve of a forest on rows it was not fitted on."""
+    split = at_rest(sampling.stratified_split(_model_table(spark, sf_dir), star.ROW_ID), "split")
+    fitted = model.fit(split.where("split = 'train'"), FEATURE_COLUMNS)
+    report, auc = model.evaluate(fitted, split.where("split = 'test'"))
+    area = auc.select(F.lit("roc_auc").alias("class"), *[F.lit(None).cast("double").alias(c) for c in ("precision", "recall")], F.col("roc_auc").alias("f1"), F.lit(None).cast("long").alias("support"))
+    return rounded(report.unionByName(area))
+
+
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as a stream: rejected with a reason, or scored with the current run's model."""
     stateless = features.add_stateless(balanced(spark, sf_dir, star.addr_separable))
@@ -407,17 +488,17 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
-        csv_ingest, live_json, clean_fill, class_counts, balanced_sample,
+        csv_ingest, live_json, live_json_array, clean_fill, class_counts, balanced_sample,
         log_features, ratio_features, temporal_features, stateless_features,
-        zscore_state, zscore_apply, zscore_apply_unseen_year, feature_table,
-        stratified_split, kfold_assignment, bootstrap_sample, inject_missing,
-        profile_summary, profile_histogram, drift_psi, drift_job,
+        zscore_state, zscore_state_merged, zscore_apply, zscore_apply_unseen_year, feature_table, stage_features, stage_rows,
+        stratified_split, split_of_loads, kfold_assignment, folds_of_loads, bootstrap_sample, inject_missing,
+        profile_summary, profile_summary_merged, profile_histogram, drift_psi, drift_job,
         confusion_report, roc_auc, cv_summary, test_summary,
         request_counters, latency_histogram, current_run, request_validation,
         error_rate_alert, down_alert,
         stream_request_metrics, stream_latency_histogram, stream_error_alert, stream_down_alert, stream_error_states, stream_down_states, stream_drift,
         stream_error_transitions, stream_down_transitions, stream_late_counters, stream_drift_runs,
-        rf_scores, rf_cross_validate, stream_scores,
+        rf_scores, rf_evaluation, rf_cross_validate, stream_scores,
     )
 }
 test_summary.__test__ = False  # a query, not a test case

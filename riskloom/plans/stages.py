@@ -14,14 +14,19 @@ from riskloom.operators.clean import ROW_KEY, preprocess
 from riskloom.operators.drift import drift
 from riskloom.operators.features import add_stateless, drop_unmodelled, feature_columns
 from riskloom.operators.model import ForestSettings, Trained, train
+from riskloom.operators.observed import RowCounts, newest
 from riskloom.operators.profile import profile
 from riskloom.operators.runs import resolve_run
 from riskloom.operators.zscore import apply_state, fit_state
 from riskloom.schemas import LIVE, MONITORED_FEATURES, NUM_FOLDS, PREDICTION_LOG, RAW, RUN_NAME, SEED, TEST_FRACTION
+from riskloom.session import beside
 from riskloom.sources import tables
 from riskloom.streaming import counters, live_drift, monitor, scoring, transitions
 from riskloom.streaming.sinks import LateRows, start_appends, start_versions
 
+#: Rows read, without a label, and kept, one row per run of a stage.
+STAGE_ROWS = "stage-rows"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -44,13 +49,21 @@ class Settings:
     forest: ForestSettings = field(default_factory=ForestSettings)
 
 
+def _write_counted(spark: SparkSession, at: Layout, rows: RowCounts, df: DataFrame, name: str) -> None:
+    """Write a stage's table, then what it read and kept."""
+    tables.write_table(rows.at_end(df), at.at(name))
+    tables.write_table(rows.table(spark), at.at(STAGE_ROWS), "append")
+
+
 def ingest(spark: SparkSession, at: Layout, csv_path: str) -> None:
-    tables.write_table(tables.read_raw_csv(spark, csv_path), at.at("raw"))
+    spark, rows = beside(spark), RowCounts("ingest")
+    _write_counted(spark, at, rows, rows.at_source(tables.read_raw_csv(spark, csv_path), "label"), "raw")
 
 
 def preprocess_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> None:
-    raw = tables.read_table(spark, at.at("raw"), RAW)
-    tables.write_table(preprocess(raw, how.key, how.seed), at.at("preprocessed"))
+    spark, rows = beside(spark), RowCounts("preprocess")
+    raw = rows.at_source(tables.read_table(spark, at.at("raw"), RAW), "label")
+    _write_counted(spark, at, rows, preprocess(raw, how.key, how.seed), "preprocessed")
 
 
 def feature_stage(spark: SparkSession, at: Layout) -> None:
@@ -58,10 +71,11 @@ def feature_stage(spark: SparkSession, at: Layout) -> None:
 
     The state lies beside the features it made; training copies it to the run, from where streams load it.
     """
-    stateless = add_stateless(tables.read_table(spark, at.at("preprocessed")))
+    spark, rows = beside(spark), RowCounts("features")
+    stateless = add_stateless(rows.at_source(tables.read_table(spark, at.at("preprocessed"))))
     tables.save_state(fit_state(stateless), at.at("features-state"))
     featured = apply_state(stateless, tables.load_state(spark, at.at("features-state")))
-    tables.write_table(drop_unmodelled(featured), at.at("features"))
+    _write_counted(spark, at, rows, drop_unmodelled(featured), "features")
 
 
 def training_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> Trained:
@@ -78,6 +92,7 @@ def training_stage(spark: SparkSession, at: Layout, how: Settings = Settings())
         "fold-scores": trained.fold_scores, "report": trained.report, "summary": trained.summary,
     }.items():
         tables.write_table(table, of_run.at(name))
+    tables.write_table(newest(tables.read_table(spark, at.at(STAGE_ROWS))), of_run.at(STAGE_ROWS))
     reference = profile(tables.read_table(spark, at.at("preprocessed")), how.features)
     tables.save_profile(reference, of_run.at("profile"))
     ended = datetime.now(timezone.utc)

@@ -30,6 +30,19 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def beside(spark: SparkSession) -> SparkSession:
+    """A session over the same context with the same settings.
+
+    A session that has observed metrics cannot be sent along with a fitted model's functions any more, so what is
+    observed runs in a session of its own.
+    """
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from riskloom.operators.zscore import NOT_FITTED
 from riskloom.schemas import LIVE, PROFILE, RAW, RUN_LOG, STATE
 from riskloom.session import at_rest
+from riskloom.sources.json_array import read_json_array
 
 # Names under which an exported index column appears.
 INDEX_COLUMNS = ["_c0", "Unnamed: 0"]
@@ -48,13 +49,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def read_live_json(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
+def read_live_json(spark: SparkSession, path: str, one_array: bool | str = False) -> DataFrame:
     """Live records; an error when there are none.
 
-    Records are one JSON object a line, which many tasks can read. ``one_array`` reads a
-    file that is a single JSON array, which only one task per file can.
+    Records are one JSON object a line. ``one_array`` reads files that are a single JSON array: one task
+    a file, or many tasks each with ``one_array="ranges"``.
     """
-    live = spark.read.schema(LIVE).option("multiLine", one_array).json(path)
+    if one_array == "ranges":
+        live = read_json_array(spark, path, LIVE)
+    else:
+        live = spark.read.schema(LIVE).option("multiLine", one_array).json(path)
     if live.isEmpty():
         raise RuntimeError(f"There are no live records in {path}.")
     return live
