@@ -103,12 +103,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows that stay, with their columns; of repeated rows, one (the longest, then the first by text)."""
     decided = decide(docs).where("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash")).count()
     decided = at_rest(decided, "kept")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(normalised()))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_text_hash") == F.col("kept_hash"))
-    out = hashed.join(decided.where("count = 1"), same, "left_semi")
-    repeated = decided.where("count > 1")
+    text_hash, place = (name + "_" * sum(map(len, docs.columns)) for name in ("_text_hash", "_place"))
+    hashed = docs.withColumn(text_hash, F.xxhash64(normalised()))
+    same = hashed["doc_id"].eqNullSafe(decided["kept_id"]) & (hashed[text_hash] == decided["kept_hash"])
+    out = hashed.join(decided.where(decided["count"] == 1), same, "left_semi")
+    repeated = decided.where(decided["count"] > 1)
     if not repeated.isEmpty():
-        place = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy(F.length("text").desc(), "text"))
-        more = hashed.join(repeated, same, "left_semi").withColumn("_place", place).where("_place = 1")
-        out = out.union(more.drop("_place"))
-    return out.drop("_text_hash")
+        first = F.row_number().over(Window.partitionBy("doc_id", text_hash).orderBy(F.length("text").desc(), "text"))
+        more = hashed.join(repeated, same, "left_semi").withColumn(place, first).where(F.col(place) == 1)
+        out = out.union(more.drop(place))
+    return out.drop(text_hash)

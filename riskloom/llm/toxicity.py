@@ -201,7 +201,8 @@ def _sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, rows: int
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(fold, folds))
     one = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     chosen = one.select(F.col("doc_id").alias("label_id"), "toxic")
-    return at_rest(docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["label_id"]).select(docs["text"].cast("string").alias("text"), F.col("toxic").cast("long").alias("toxic")), "labelled")
+    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    return at_rest(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", F.col("toxic").cast("long").alias("toxic")), "labelled")
 
 
 def learn_terms(sample: DataFrame, n_toxic: int, n_other: int) -> list[tuple[int, int, float]]:
