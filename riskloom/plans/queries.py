@@ -21,6 +21,8 @@ from riskloom.streaming import counters, live_drift, monitor, scoring, transitio
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+#: Cross-validated scores of the noisy label: 5 of 100 rows are wrong, so none can stay above the second.
+LEARNED = (0.8, 0.975)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -457,6 +459,24 @@ def rf_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.cross_validate(folded, FEATURE_COLUMNS))
 
 
+def rf_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a forest learns a noisy label of three features: no score can beat the noise, and few may fall far below it."""
+    rows = at_rest(features.align(_feature_table(spark, sf_dir, star.addr_learnable), FEATURE_COLUMNS, ["address", TARGET]), "features")
+    folded = at_rest(sampling.assign_folds(rows, star.ROW_ID), "folds")
+    scores = metrics.summarise_folds(model.cross_validate(folded, FEATURE_COLUMNS)).where("split = 'test'")
+    return scores.select("metric", (F.col("mean") >= LEARNED[0]).alias("learned"), (F.col("mean") <= LEARNED[1]).alias("below_noise"))
+
+
+def feature_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the feature table: the target, and the inputs in the order that a model takes them."""
+    table = features.align(features.drop_unmodelled(_feature_table(spark, sf_dir)), FEATURE_COLUMNS, [TARGET])
+    inputs = features.feature_columns(table)
+    filled = table.agg(*[F.count(c).alias(c) for c in table.columns])
+    roles = [F.struct(F.lit(c).alias("column"), F.lit("target" if c == TARGET else "input").alias("role"),
+                      F.lit(inputs.index(c) if c in inputs else None).cast("int").alias("place"), F.col(c).alias("values")) for c in table.columns]
+    return filled.select(F.inline(F.array(*roles)))
+
+
 def rf_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report and area under the curve of a forest on rows it was not fitted on."""
     split = at_rest(sampling.stratified_split(_model_table(spark, sf_dir), star.ROW_ID), "split")
@@ -490,7 +510,7 @@ ALL: dict[str, Query] = {
     for f in (
         csv_ingest, live_json, live_json_array, clean_fill, class_counts, balanced_sample,
         log_features, ratio_features, temporal_features, stateless_features,
-        zscore_state, zscore_state_merged, zscore_apply, zscore_apply_unseen_year, feature_table, stage_features, stage_rows,
+        zscore_state, zscore_state_merged, zscore_apply, zscore_apply_unseen_year, feature_table, feature_roles, stage_features, stage_rows,
         stratified_split, split_of_loads, kfold_assignment, folds_of_loads, bootstrap_sample, inject_missing,
         profile_summary, profile_summary_merged, profile_histogram, drift_psi, drift_job,
         confusion_report, roc_auc, cv_summary, test_summary,
@@ -498,7 +518,7 @@ ALL: dict[str, Query] = {
         error_rate_alert, down_alert,
         stream_request_metrics, stream_latency_histogram, stream_error_alert, stream_down_alert, stream_error_states, stream_down_states, stream_drift,
         stream_error_transitions, stream_down_transitions, stream_late_counters, stream_drift_runs,
-        rf_scores, rf_evaluation, rf_cross_validate, stream_scores,
+        rf_scores, rf_evaluation, rf_learned, rf_cross_validate, stream_scores,
     )
 }
 test_summary.__test__ = False  # a query, not a test case

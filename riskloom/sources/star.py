@@ -74,6 +74,14 @@ def addr_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addr(spark, sf_dir).withColumn("label", label)
 
 
+def addr_learnable(spark: SparkSession, sf_dir: str, noise_percent: int = 5) -> DataFrame:
+    """``addr`` with a label that three features decide together, and that is wrong on some rows: it has to be learned."""
+    rows = addr(spark, sf_dir)
+    votes = sum((c.cast("int") for c in (F.col("income") > 200_000, F.col("neighbors") >= 5, F.col("weight") > 0.2)), F.lit(0))
+    wrong = F.pmod(F.xxhash64("address"), F.lit(100)) < noise_percent
+    return rows.withColumn("label", F.when((votes >= 2) != wrong, "two-signs").otherwise("white"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with a score that is tied on many rows."""
     positive = (F.col("label") != "white").cast("int")

@@ -7,7 +7,7 @@ from compare import oracle_rows, spark_rows
 from riskloom.plans import oracles, queries as catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 QUERIES, SQL = catalog.ALL, oracles.ALL
 
 
