@@ -109,12 +109,16 @@ def counts(training: DataFrame) -> DataFrame:
 
 
 class HashIndex:
-    """Slots of keys below 2 ** 64 - 1 by open addressing."""
+    """Values of keys below 2 ** 64 - 1 by open addressing, three slots for two keys."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.mask = np.uint64((1 << max(4, int(2 * len(keys)).bit_length())) - 1)
-        self.keys = np.full(int(self.mask) + 1, np.uint64(2**64 - 1))
-        self.values = np.zeros(int(self.mask) + 1, np.float32)
+        self.size = np.uint64(max(16, len(keys) * 3 // 2))
+        self.keys = np.full(int(self.size), np.uint64(2**64 - 1))
+        self.values = np.zeros(int(self.size), np.float32)
+        for lo in range(0, len(keys), FLUSH):
+            self._add(keys[lo : lo + FLUSH], values[lo : lo + FLUSH])
+
+    def _add(self, keys: np.ndarray, values: np.ndarray) -> None:
         slot, waiting = self._first(keys), np.arange(len(keys))
         while len(waiting):
             s = slot[waiting]
@@ -123,11 +127,13 @@ class HashIndex:
             placed = self.keys[s] == keys[waiting]
             self.values[s[placed]] = values[waiting[placed]]
             waiting = waiting[~placed]
-            slot[waiting] = (slot[waiting] + np.uint64(1)) & self.mask
+            slot[waiting] = self._next(slot[waiting])
 
     def _first(self, keys: np.ndarray) -> np.ndarray:
-        h = keys * np.uint64(0x9E3779B97F4A7C15)
-        return (h ^ (h >> np.uint64(29))) >> np.uint64(7) & self.mask
+        return (words.mix(keys) >> np.uint64(32)) * self.size >> np.uint64(32)
+
+    def _next(self, slot: np.ndarray) -> np.ndarray:
+        return np.where(slot + np.uint64(1) == self.size, np.uint64(0), slot + np.uint64(1))
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Value of each key, and the places of the keys that are not held."""
@@ -140,7 +146,7 @@ class HashIndex:
             empty = held[open_] == np.uint64(2**64 - 1)
             missing.append(open_[empty])
             open_ = open_[~empty]
-            slot[open_] = (slot[open_] + np.uint64(1)) & self.mask
+            slot[open_] = self._next(slot[open_])
             held[open_] = self.keys[slot[open_]]
             done = held[open_] == keys[open_]
             out[open_[done]] = self.values[slot[open_[done]]]
@@ -169,6 +175,11 @@ def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1).astype(np.float64))
 
 
+def _kept(x: np.ndarray) -> np.ndarray:
+    """As it stays in memory: seven digits, half the bytes."""
+    return x.astype(np.float32)
+
+
 class Ppm:
     """The trie of one slice. ``grams``: runs of ``ORDER + 1`` bytes; ``pairs``: all runs of two bytes, of every slice."""
 
@@ -194,15 +205,14 @@ class Ppm:
                 under_total = np.add.reduceat(below_n, up_first)[at] - own
                 under_distinct = np.diff(np.append(up_first, len(below)))[at] - distinct
             both, under = sums + distinct, under_total + under_distinct
+            if k == 0:  # differences of logs are taken before they are cut to seven digits
+                self.top = HashIndex(keys, _kept(_log10(n) - np.repeat(_log10(both), distinct)))
+                keys, n = keys[:0], n[:0]  # all that the index does not hold was not seen
             self.levels.append(Level(
-                keys, _log10(n), contexts, _log10(both), _log10(distinct) - _log10(both), _log10(under),
-                np.where(under_distinct > 0, _log10(under_distinct) - _log10(under), 0.0),
+                keys, _kept(_log10(n)), contexts, _kept(_log10(both)), _kept(_log10(distinct) - _log10(both)), _kept(_log10(under)),
+                _kept(np.where(under_distinct > 0, _log10(under_distinct) - _log10(under), 0.0)),
             ))
             tables[k] = None if k == 0 else tables[k]
-        top = self.levels[0]
-        spread = np.repeat(top.total, np.diff(np.append(np.searchsorted(top.keys >> np.uint64(8), top.contexts), len(top.keys))))
-        self.top = HashIndex(top.keys, (top.log_n - spread).astype(np.float32))
-        top.keys, top.log_n = top.keys[:0], top.log_n[:0]  # all that the index does not hold was not seen
         self.unseen = -math.log10(max(1, 256 - len(self.levels[-1].keys)))
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
