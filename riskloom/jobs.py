@@ -13,14 +13,14 @@ from riskloom.operators.model import ForestSettings
 from riskloom.plans import stages
 from riskloom.session import build_session
 
-STAGES = ["ingest", "preprocess", "features", "training", "drift", "score", "monitor", "watch"]
+STAGES = ["ingest", "load", "preprocess", "features", "training", "drift", "score", "monitor", "watch"]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run stages; each reads and writes tables under --root.")
     parser.add_argument("--root", required=True, help="folder on shared storage")
     parser.add_argument("--stage", action="append", choices=STAGES, required=True, help="may be given several times")
-    parser.add_argument("--csv", help="raw CSV for the ingest stage")
+    parser.add_argument("--csv", help="raw CSV for the ingest stage, or the next load for the load stage")
     parser.add_argument("--live", help="folder of live JSON records for the drift and watch stages")
     parser.add_argument("--requests", help="folder of JSON requests, one a line, for the score stage")
     parser.add_argument("--log", help="folder of the prediction log (Parquet) for the monitor stage")
@@ -34,7 +34,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--trees", type=int, default=how.forest.trees)
     parser.add_argument("--depth", type=int, default=how.forest.depth)
     args = parser.parse_args(argv)
-    for stage, name in (("ingest", "csv"), ("drift", "live"), ("score", "requests"), ("monitor", "log"), ("watch", "live")):
+    for stage, name in (("ingest", "csv"), ("load", "csv"), ("drift", "live"), ("score", "requests"), ("monitor", "log"), ("watch", "live")):
         if stage in args.stage and not getattr(args, name):
             parser.error(f"--stage {stage} needs --{name}")
     spark = build_session("address-risk", args.master)
@@ -45,6 +45,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     run = {
         "ingest": lambda: stages.ingest(spark, at, args.csv),
+        "load": lambda: stages.load_stage(spark, at, args.csv, how),
         "preprocess": lambda: stages.preprocess_stage(spark, at, how),
         "features": lambda: stages.feature_stage(spark, at),
         "training": lambda: stages.training_stage(spark, at, how).summary.show(truncate=False),

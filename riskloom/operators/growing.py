@@ -17,6 +17,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.hashing import order_hash
 from riskloom.operators.sampling import assign_segments, train_sizes
@@ -24,6 +25,12 @@ from riskloom.schemas import NUM_FOLDS, SEED, TARGET, TEST_FRACTION
 from riskloom.session import at_rest
 
 CUTS = "load long, class string, segment int, upto string, rows long"
+
+
+def schema() -> T.StructType:
+    return T.StructType.fromDDL(CUTS)
+
+
 #: Beyond every hash: the last segment of a class has no end.
 LAST = "g"
 

@@ -360,6 +360,15 @@ ALL["feature_roles"] = f"""WITH {ADDR}, {balanced('addr')}
 SELECT 'is_ransomware' AS column, 'target' AS role, CAST(NULL AS INT) AS place, count(*) AS values FROM balanced
 UNION ALL SELECT c, 'input', CAST(p AS INT), n FROM (VALUES {_ROLES}) f(c, p), (SELECT count(*) AS n FROM balanced)"""
 
+# Each load balanced by itself, then one state and one growing split over all of them.
+_BALANCED_LOADS = balanced("addr").replace("PARTITION BY is_ransomware ORDER BY", "PARTITION BY address % 3, is_ransomware ORDER BY").replace(
+    "sum(is_ransomware) OVER ()", "sum(is_ransomware) OVER (PARTITION BY address % 3)")
+ALL["features_of_loads"] = f"""WITH {ADDR}, {_BALANCED_LOADS}, {clamp_cte('balanced')}, {state('clamped')}, {zscored('clamped')},
+dealt AS ({ALL["split_of_loads"].replace(f"WITH {ADDR},", "WITH").replace("CASE WHEN label <> 'white' THEN 1 ELSE 0 END AS is_ransomware FROM addr", "is_ransomware FROM balanced")})
+SELECT address, is_ransomware, round(ln(1 + income), 6) AS log_income, round((count + neighbors) / nullif(looped + 1, 0), 6) AS activity_index,
+  round(income_z, 6) AS income_z, round(income_z_by_year, 6) AS income_z_by_year, split
+FROM zscored JOIN dealt USING (address, is_ransomware)"""
+
 ALL["stratified_split"] = f"""WITH {ADDR},
 classed AS (SELECT address, CASE WHEN label <> 'white' THEN 1 ELSE 0 END AS is_ransomware FROM addr),
 sizes AS (SELECT is_ransomware, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM classed GROUP BY 1),

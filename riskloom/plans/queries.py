@@ -269,6 +269,18 @@ def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed.newest(tables.read_table(spark, _staged(spark, sf_dir).at(stages.STAGE_ROWS))).drop("ended")
 
 
+def features_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and split of three loads, added one by one by the load stage."""
+    at, raw = stages.Layout(new_path(spark, "stages")), at_rest(star.raw(spark, sf_dir), "raw")
+    how = stages.Settings(key=star.ROW_ID)
+    for i in range(3):
+        csv = new_path(spark, "csv")
+        raw.where(F.col("address").cast("long") % 3 == i).write.option("header", True).csv(csv)
+        stages.load_stage(spark, at, csv, how)
+    found = stages.load_features(spark, at, how)
+    return rounded(found.select(F.col("address").cast("long").alias("address"), TARGET, "log_income", "activity_index", "income_z", "income_z_by_year", "split"))
+
+
 # Classifier metrics
 
 
@@ -510,7 +522,7 @@ ALL: dict[str, Query] = {
     for f in (
         csv_ingest, live_json, live_json_array, clean_fill, class_counts, balanced_sample,
         log_features, ratio_features, temporal_features, stateless_features,
-        zscore_state, zscore_state_merged, zscore_apply, zscore_apply_unseen_year, feature_table, feature_roles, stage_features, stage_rows,
+        zscore_state, zscore_state_merged, zscore_apply, zscore_apply_unseen_year, feature_table, feature_roles, stage_features, stage_rows, features_of_loads,
         stratified_split, split_of_loads, kfold_assignment, folds_of_loads, bootstrap_sample, inject_missing,
         profile_summary, profile_summary_merged, profile_histogram, drift_psi, drift_job,
         confusion_report, roc_auc, cv_summary, test_summary,

@@ -10,7 +10,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.clean import ROW_KEY, preprocess
+from riskloom.operators import growing, moments
+from riskloom.operators.clean import ROW_KEY, balance, binarise, fill_numeric, preprocess
 from riskloom.operators.drift import drift
 from riskloom.operators.features import add_stateless, drop_unmodelled, feature_columns
 from riskloom.operators.model import ForestSettings, Trained, train
@@ -19,7 +20,7 @@ from riskloom.operators.profile import profile
 from riskloom.operators.runs import resolve_run
 from riskloom.operators.zscore import apply_state, fit_state
 from riskloom.schemas import LIVE, MONITORED_FEATURES, NUM_FOLDS, PREDICTION_LOG, RAW, RUN_NAME, SEED, TEST_FRACTION
-from riskloom.session import beside
+from riskloom.session import at_rest, beside
 from riskloom.sources import tables
 from riskloom.streaming import counters, live_drift, monitor, scoring, transitions
 from riskloom.streaming.sinks import LateRows, start_appends, start_versions
@@ -78,6 +79,35 @@ def feature_stage(spark: SparkSession, at: Layout) -> None:
     _write_counted(spark, at, rows, drop_unmodelled(featured), "features")
 
 
+def load_stage(spark: SparkSession, at: Layout, csv_path: str, how: Settings = Settings()) -> int:
+    """Add a CSV to the loads that are there: only its own rows are read, and nothing is written anew.
+
+    The load is balanced by itself, its rows are dealt to train and test for good, and its moments go beside those of the
+    loads before. Returns its number. A load cut off half-way has no cuts yet: it is written over by the next try.
+    """
+    cuts_path = at.at("load-cuts")
+    cuts = tables.read_table(spark, cuts_path, growing.schema()) if tables.exists(spark, cuts_path) else spark.createDataFrame([], growing.CUTS)
+    load = (cuts.agg(F.max("load")).first()[0] or 0) + 1
+    balanced = at_rest(balance(binarise(fill_numeric(tables.read_raw_csv(spark, csv_path))), how.key, how.seed), "balanced")
+    stateless = add_stateless(balanced)
+    tables.write_table(stateless, at.at(f"loads/load={load}"))
+    tables.write_table(moments.load_moments(stateless, ["income", *how.features]), at.at(f"load-moments/load={load}"))
+    dealt = growing.deal_load(balanced, load, cuts, how.key, growing.split_targets(how.test_fraction), seed=how.seed)
+    tables.write_table(dealt, cuts_path, "append")
+    return load
+
+
+def load_features(spark: SparkSession, at: Layout, how: Settings = Settings()) -> DataFrame:
+    """Key, target, features and split of the rows of all loads; the scores are those of the state of their union."""
+    cuts = tables.read_table(spark, at.at("load-cuts"), growing.schema())
+    done = F.col("load").isin([r["load"] for r in cuts.select("load").distinct().collect()])
+    parts = spark.read.parquet(at.at("load-moments")).where(done)
+    tables.save_state(moments.zscore_state(parts), at.at("load-state"))
+    rows = growing.apply_cuts(spark.read.parquet(at.at("loads")).where(done), cuts, how.key, into="segment", seed=how.seed)
+    scored = apply_state(rows, tables.load_state(spark, at.at("load-state")))
+    return scored.withColumn("split", growing.named_split(F.col("segment"))).drop("segment")
+
+
 def training_stage(spark: SparkSession, at: Layout, how: Settings = Settings()) -> Trained:
     """Train, evaluate, and save model, state, columns, metrics and profile under the run; it is logged last."""
     run_id = uuid.uuid4().hex

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.operators.metrics import latency_aggregates, latency_rows, request_aggregates
 from riskloom.schemas import LATENCY_BOUNDS, NEGATIVE_NAME, POSITIVE_NAME
 from riskloom.session import remove
+from riskloom.sources.tables import exists
 from riskloom.streaming.monitor import LATENESS
 from riskloom.streaming.sinks import batch_path, checkpoint_of, start
 
@@ -78,15 +79,10 @@ def _fold_log(path: str) -> str:
     return f"{path.rstrip('/')}-folds"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def _read(spark: SparkSession, path: str) -> DataFrame:
     """All counts with their batch: the newest fold, and the folders after it."""
     rows = spark.read.schema(T.StructType([*COUNTS.fields, T.StructField("batch", T.LongType())])).parquet(path)
-    if not _exists(spark, _fold_log(path)):
+    if not exists(spark, _fold_log(path)):
         return rows
     upto, folded = spark.read.schema(FOLDS).parquet(_fold_log(path)).agg(F.max(F.struct("upto", "path"))).first()[0]
     fold = spark.read.schema(COUNTS).parquet(folded).withColumn("batch", F.lit(upto).cast("long"))

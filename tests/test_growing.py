@@ -99,3 +99,28 @@ def test_shares():
     assert growing.shares(1, [5, 20], [2, 18]) == [1, 0]
     assert growing.shares(3, [2, 8], [5, 2]) == [0, 3]
     assert growing.shares(0, [2, 8], [2, 8]) == [0, 0]
+
+
+def test_loads_added_one_by_one(spark, tmp_path):
+    """A second load changes no row of the first one, and a load cut off before its cuts were written is made again."""
+    from riskloom.plans import stages
+    from riskloom.sources import tables
+
+    raw, at, how = at_rest(star.raw(spark, SF_DIR), "raw"), stages.Layout(str(tmp_path / "root")), stages.Settings(key=["address"])
+    seen = {}
+    for i in (1, 2):
+        csv = str(tmp_path / f"csv{i}")
+        raw.where(F.pmod(F.xxhash64("address"), F.lit(2)) == i - 1).write.option("header", True).csv(csv)
+        if i == 2:  # as after a crash: rows without cuts
+            raw.limit(3).write.parquet(at.at("loads/load=2"))
+            assert stages.load_features(spark, at, how).count() == len(seen)
+        assert stages.load_stage(spark, at, csv, how) == i
+        now = {r.address: (r.split, r.load) for r in stages.load_features(spark, at, how).collect()}
+        assert all(now[a] == was for a, was in seen.items()) and {load for _, load in now.values()} == set(range(1, i + 1))
+        seen = now
+    found = stages.load_features(spark, at, how)
+    test = found.where("split = 'test'").count() / found.count()
+    assert abs(test - 0.2) < 0.002 and found.groupBy("is_ransomware").count().select("count").distinct().count() == 1
+    fitted = {(r.scope, r.year): (r["mean"], r["std"]) for r in zscore.fit_state(found).collect()}
+    saved = {(r.scope, r.year): (r["mean"], r["std"]) for r in tables.load_state(spark, at.at("load-state")).collect()}
+    assert saved.keys() == fitted.keys() and all(saved[k] == pytest.approx(fitted[k], rel=1e-9) for k in fitted)
