@@ -74,3 +74,23 @@ def test_mix_comes_near_the_targets(spark):
     docs = spark.createDataFrame([(i, "w " * (1 + i % 7), f"s{min(i % 9, 4)}") for i in range(3000)], "doc_id long, text string, source string")
     rows = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg({"taken": "sum", "target": "first"}).collect()
     assert all(abs(r["sum(taken)"] - r["first(target)"]) <= 7 for r in rows)
+
+
+def test_the_index_decides(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 700 if i % 3 else 0}" + " " * (i % 5)) for i in range(3000)], "doc_id long, text string")
+    index, slots = exact_dedup.build_index(docs, exact_dedup.entries(docs), capacity=20)
+    buckets, files = len(set(slots)), {f for f in index.inputFiles() if f.endswith(".parquet")}
+    assert 30 < buckets <= len(slots) and len(files) == buckets
+    assert index.agg({"group_size": "sum"}).collect()[0][0] == 3000
+    assert all(0 < n <= 20 for n in Counter(r["bucket"] for r in index.collect()).values())
+    got = exact_dedup.exact_groups(docs, capacity=20).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in got) == plain_groups(all_rows(docs))
+
+
+def test_colliding_hashes_are_chained_and_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *_: exact_dedup.F.lit(7).cast("long"))
+    docs = spark.createDataFrame([(i, f"text {i % 4}") for i in range(40)], "doc_id long, text string")
+    index, _ = exact_dedup.build_index(docs, exact_dedup.entries(docs))
+    assert sorted(r["place"] for r in index.collect()) == [1, 2, 3, 4]
+    got = exact_dedup.exact_groups(docs).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in got) == plain_groups(all_rows(docs))
