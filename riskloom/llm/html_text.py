@@ -11,7 +11,9 @@ core. The least density on the path from the body to the core is the threshold:
 children that reach it belong to the text too, unless they are mostly links. A core inside a ``main`` or else ``article`` stands
 for the outermost such element, one that is a single paragraph for the element around it. All other ``article``
 elements belong to the text unless their role, class or id marks them as boilerplate. Inside the chosen elements only what is
-marked is dropped; where the whole body is the core, lists of links are too.
+marked is dropped; where the whole body is the core, lists of links are too. A class or id marks an element if all its
+words are names of boilerplate or shape them (``share-buttons``, not ``related-work``); headings, paragraphs and other
+running text are marked only by a class that is such a name by itself.
 
 Blocks are the texts between block-level tags: character references decoded, white space as one blank, trimmed, joined
 by two line ends. Defined results: null and empty pages and pages without text give an empty text; null ids and urls are
@@ -30,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe noframes textarea title svg math object canvas audio video".split())
+RAW = set("script style noscript template iframe noframes textarea title svg object canvas audio video".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-BOILERPLATE = set("nav header footer aside form button select label menu dialog head".split())
+BOILERPLATE = set("nav header footer aside form button select menu dialog head annotation annotation-xml".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 NAMES = set(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads advert adverts advertisement advertising adbox sponsor sponsored promo "
@@ -43,6 +45,18 @@ NAMES = set(
     "comments commentlist disqus respond replies social share sharing related recommended breadcrumb breadcrumbs pagination pager widget toolbar "
     "login search skip form".split()
 )
+#: Names that an article's own title or text may have too: they say little on a heading or beside a word of ``OWN``.
+TITLES = set("header masthead banner form search notice alert".split())
+OWN = set("article blog content entry main page post site story text body".split())
+#: Words that only shape what a name beside them says.
+SHAPES = set(
+    "area bar block bottom box btn button buttons center column container content feed global group icon icons inline inner item items left links "
+    "list main module news outer page panel policy post posts primary region right secondary section site slot stories story thread top unit "
+    "widget widgets wrap wrapper article articles blog entry".split()
+)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text: an id is only a place to link to, and a class counts if it is a name by itself.
+RUNNING = HEADINGS | set("p span em strong b i u s a code kbd pre blockquote q cite mark small sub sup abbr time label dt dd li td th tr caption figcaption font".split())
 #: What a start tag closes: itself and these, up to the elements that bound them.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -51,6 +65,7 @@ CLOSES = {
 _BOUNDS = {"td", "th", "table", "body", "html"}
 _TAG = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
 _NAME = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_FOR = re.compile(r"(?<![\w-])for\s*=", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _BLANK = re.compile(r"\s+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -80,8 +95,21 @@ def _attributes(page: str, at: int) -> tuple[str, int]:
     return text, end + 1
 
 
+def _named(tag: str, attribute: str, value: str) -> bool:
+    """Whether a class or id names boilerplate: a class by itself, or a compound of names and words that shape them."""
+    names = NAMES - TITLES if tag in HEADINGS else NAMES
+    if tag in RUNNING:
+        return attribute == "class" and not names.isdisjoint(value.split())
+    for whole in value.split():
+        parts = [w for w in _SPLIT.split(whole) if w and not w.isdigit()]
+        found = NAMES.intersection(parts)
+        if found and all(w in NAMES or w in SHAPES for w in parts) and not (found <= TITLES and OWN & set(parts) - {"site", "page", "main"}):
+            return True
+    return False
+
+
 def _is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in BOILERPLATE:
+    if tag in BOILERPLATE or (tag == "label" and _FOR.search(attributes)):
         return True
     if tag in ("html", "body", "article", "main") or not attributes.strip():
         return False
@@ -89,7 +117,7 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _INVISIBLE.search(value)):
             return True
-        if name == "role" and value.strip() in ROLES or name in ("class", "id") and not NAMES.isdisjoint(_SPLIT.split(value)):
+        if name == "role" and value.strip() in ROLES or name in ("class", "id") and _named(tag, name, value):
             return True
     return False
 
@@ -128,6 +156,8 @@ def parse(page: str) -> Node:
             node.parts.append(" ")
             continue
         if tag in VOID:
+            if tag == "input" and node.tag == "label":
+                node.drop = True
             node.parts.append(Node(tag, node))
             continue
         if tag == "html" or (tag == "body" and node is not root and any(isinstance(x, Node) and x.tag == "body" for x in root.parts)):

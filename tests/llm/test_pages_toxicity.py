@@ -50,6 +50,43 @@ def test_text_beside_and_in_other_articles():
     assert "sequel" in html_text.extract(beside)
 
 
+@pytest.mark.parametrize("part", [
+    '<h2 id="search-algorithms">Here</h2>', '<section class="related-work"><p>Here</p></section>', '<p class="ad-hoc">Here</p>', '<p class="short-form">Here</p>',
+    '<div class="entry-header"><h1>Here</h1></div>', "<p><math><mi>Here</mi></math></p>", "<p><label>Here</label></p>", '<h1 class="header">Here</h1>', '<p id="notice">Here</p>',
+])
+def test_names_drop_no_text_of_the_article(part):
+    assert html_text.extract(f"<article>{STORY}{part}{STORY}</article>").split("\n\n")[4] == "Here"
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="share-buttons">Here</div>', '<div class="comment-list"><p>Here</p></div>', '<div id="newsletter-signup">Here</div>', '<div class="ad-slot-2">Here</div>',
+    '<div class="x related-posts">Here</div>', "<label for=x>Here</label>", "<p><label><input type=checkbox> Here</label></p>", '<div class="site-header">Here</div>',
+    '<p class="notice">Here</p>', '<ul class="breadcrumb"><li>Here</ul>', "<math><annotation>Here</annotation></math>",
+])
+def test_names_of_boilerplate_inside_the_article(part):
+    assert "Here" not in html_text.extract(f"<article>{STORY}{part}{STORY}</article>")
+
+
+def test_generated_articles_come_back_whole():
+    import html
+    import random
+
+    rng = random.Random(3)
+    words_ = "alpha beta gamma delta R&D a<b café 数学 it's \"so\" 7%".split()
+    for _ in range(60):
+        blocks = [" ".join(rng.choices(words_, k=rng.randint(25, 60))) for _ in range(rng.randint(3, 9))]
+        marked = [f"<{t}>\n {html.escape(b).replace(' ', rng.choice([' ', chr(10), '  ']), 3)}</{t}>" for b in blocks for t in [rng.choice(["p", "h2", "blockquote", "li", "pre"])]]
+        menu = "".join(f"<li><a href=/{i}>menu {i}</a>" for i in range(rng.randint(3, 30)))
+        side = f"<div class='{rng.choice(['sidebar', 'ads', 'cookie-banner', 'related-posts'])}'><p>aside text</p></div>"
+        page = f"<html><head><title>t</title></head><body><nav><ul>{menu}</ul></nav>{side}<article>{''.join(marked)}</article><footer>end</footer></body></html>"
+        assert html_text.extract(page) == "\n\n".join(blocks)
+
+
+def test_very_long_page():
+    blocks = [f"paragraph {i} with some words in it" for i in range(60_000)]
+    assert html_text.extract("<article><p>" + "<p>".join(blocks) + "</article>") == "\n\n".join(blocks)
+
+
 def test_deep_and_broken_markup():
     assert html_text.extract("<div>" * 5000 + "x" + "</b>" * 10 + "<") == "x <" or html_text.extract("<div>" * 5000 + "x").strip() == "x"
     assert html_text.extract("<p title='" * 2000) == ""
