@@ -4,11 +4,12 @@ Three base kinds are found by pattern (``BASE``). The method adds the kind ``ran
 tokens are made of, with letters, for which a public byte-pair vocabulary needs many tokens: fewer than
 ``CHARS_PER_TOKEN`` characters each. Words and names compress well under such a vocabulary, random characters do not.
 Left out are digests of known lengths, UUIDs, plain numbers and dates, runs that touch a base span, and addresses, paths and
-names whose every part is like a word by the same ratio. Runs without a digit and in one case count from
+names whose every part is like a word by the same ratio. Of a run that dots, dashes or slashes join from words and
+keys, the stretches whose own tokens are short are reported, else the whole run if its ratio is low. Runs without a digit and in one case count from
 ``LEAST_LETTERS`` characters on, as rare words have low ratios too. Only the candidates are tokenised.
 
 Places are code points, end exclusive. Defined results: null and empty texts have no spans; very long runs count as
-one span like any other and are judged on the whole run; repeated rows are reported each; extra columns are
+one span like any other, or have a span per random stretch; repeated rows are reported each; extra columns are
 ignored. An empty table gives an empty result. The vocabulary is read where the task runs, from ``vocabulary``.
 """
 
@@ -52,6 +53,12 @@ NAMED = re.compile(
     r"[A-Za-z]*[0-9]{0,4}(?:[_.-][A-Za-z]*[0-9]{0,4})*"  # names of several words, with short numbers
     r"|/?(?:[A-Za-z0-9_.-]+/)+[A-Za-z_-]*[.]?[a-z]{0,4}"  # paths
 )
+#: Digests and UUIDs as parts of a longer run.
+DIGEST = re.compile(
+    r"(?<![0-9a-zA-Z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|sha(?:1|256|384|512)-[A-Za-z0-9+/]+=*"
+    r"|[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})(?![0-9a-zA-Z])"
+)
+_JOINED = re.compile(r"[A-Za-z0-9+]+")
 _PART = re.compile(r"[A-Za-z0-9]+")
 _NUMBER = re.compile(r"[0-9]{1,4}$")
 
@@ -88,6 +95,46 @@ def is_name(run: str, tokens: Callable[[str], int], ratio: float = CHARS_PER_TOK
     return all(len(stem) <= 3 or len(stem) >= ratio * tokens(stem) for stem in stems)
 
 
+def _worth(part: str) -> bool:
+    """Enough characters, with a letter; letters in one case only if there are many."""
+    mixed = any(c.isdigit() for c in part) or not (part.islower() or part.isupper() or part.istitle())
+    return len(part) >= (LEAST_CHARS if mixed else LEAST_LETTERS) and any(c.isalpha() for c in part) and not EXCLUDED.fullmatch(part)
+
+
+def stretches(run: str, tokens: Callable[[str], int], ratio: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """Places of random strings that are joined to words in one run.
+
+    Parts between ``. _ = / -`` gain the characters that their tokens lack and lose those they have too many. A stretch
+    goes on while its sum is above zero and ends where the sum was highest. Numbers, digests and parts of three
+    characters at most count nothing.
+    """
+    out, sum_, most, first, last = [], 0.0, 0.0, -1, -1
+
+    def close() -> None:
+        if most > 0 and _worth(run[first:last]) and not is_name(run[first:last], tokens, ratio):
+            out.append((first, last))
+
+    digests = DIGEST.finditer(run)
+    digest = next(digests, None)
+    for m in _JOINED.finditer(run):
+        part = m[0]
+        while digest and digest.end() <= m.start():
+            digest = next(digests, None)
+        plain = len(part) <= 3 or part.isdigit() or bool(digest and digest.start() <= m.start())
+        gain = 0.0 if plain else ratio * tokens(part) - len(part)
+        if sum_ <= 0 < gain:
+            first, sum_, most = m.start(), 0.0, 0.0
+        sum_ += gain
+        if sum_ > most and first >= 0:
+            most, last = sum_, m.end()
+        if sum_ <= 0 < most:
+            close()
+            first, sum_, most = -1, 0.0, 0.0
+        sum_ = max(sum_, 0.0)
+    close()
+    return out
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], tokens: Callable[[str], int], ratio: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
     """Runs with few characters per token that touch no base span."""
     out = []
@@ -99,8 +146,10 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], tokens: Callable[
             continue
         if len(run) < LEAST_LETTERS and not any(c.isdigit() for c in run) and (run.islower() or run.isupper() or run.istitle()):
             continue
-        if len(run) < ratio * tokens(run) and not is_name(run, tokens, ratio):
-            out.append((start, len(KINDS) - 1, end))
+        found = stretches(run, tokens, ratio)
+        if not found and len(run) < ratio * tokens(run) and not DIGEST.search(run) and not is_name(run, tokens, ratio):
+            found = [(0, len(run))]
+        out.extend((start + a, len(KINDS) - 1, start + b) for a, b in found)
     return out
 
 

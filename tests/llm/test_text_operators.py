@@ -135,6 +135,26 @@ def test_random_runs_like_paths_and_names():
         assert found(text) == []
 
 
+def test_random_strings_joined_to_words():
+    tokens = secrets.tokenizer()
+    found = lambda t: [t[s:e] for s, _, e in secrets.random_spans(t, secrets.base_spans(t), tokens)]
+    key = "Zx9Qv3LkT8bWn2RyUj5P"
+    assert found(f"my.service.production.database.connection.{key}") == found(f"{key}-production-database-connection-string") == [key]
+    assert found("production-database-Zx9Qv3Lk-T8bWn2RyUj5P-connection-string") == ["Zx9Qv3Lk-T8bWn2RyUj5P"]
+    other = key[::-1]
+    assert found(f"{key}-production-database-connection-string-for-the-service-{other}") == [key, other]
+    digest, uuid = hashlib.md5(b"x").hexdigest().upper(), "3f2504e0-4f89-11d3-9a0c-0305e82c3301"
+    for text in (f"report-{uuid}-final", f"the-story-of-a-name-{digest}", "example.com/2024/05/01/the-story-of-a-long-name", "github.com/some-org/some-project/blob/main/file_name_v2.py"):
+        assert found(text) == []
+    assert found(f"{digest}-{uuid}-" * 3 + key) == [key]
+
+
+def test_very_long_runs_of_parts():
+    tokens = secrets.tokenizer()
+    run = "-".join(["production", hashlib.md5(b"x").hexdigest().upper(), "name"] * 20_000)
+    assert secrets.random_spans(run, [], tokens) == []
+
+
 def test_secret_scan(spark, odd_docs, no_docs):
     rows = [(1, "token=abcdefghijkl and Zx9Qv3LkT8bWn2RyUj5P"), (2, None), (3, "é" + HEX)]
     got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
