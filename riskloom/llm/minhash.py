@@ -15,7 +15,7 @@ buckets. Every pair that does is confirmed on the full sets.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle make
 one shingle; rows with a null id link with nothing and have themselves (null) as component; rows that share an id are
-one document with several sets, all linked; extra columns are ignored. Empty tables give empty results.
+one document with several sets, all linked; ids of any type that has an order; extra columns are ignored. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import words
 from riskloom.llm.components import components
+from riskloom.llm.ids import of_any_type
 from riskloom.session import at_rest, broadcast_if_small
 
 SHINGLE = 5
@@ -237,6 +238,7 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return known.unionByName(fresh)
 
 
+@of_any_type("doc_id", "component_id")
 def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
     sketched = at_rest(sketch(docs, k, bands, rows), "sketches")

@@ -288,6 +288,7 @@ def byte_scores(batch: pa.RecordBatch, model: Ppm, number: int, slices: int) ->
 def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES, vocabulary_size: int = VOCABULARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row."""
     spark = docs.sparkSession
+    key = docs.schema["doc_id"].dataType.simpleString()
     tagged = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tag"), held_out(fold, folds).alias("held_out"))
     found = at_rest(counts(tagged.where("NOT held_out")), "counts")
     grams, vocabulary = found.where(F.col("kind") == GRAM), found.where(F.col("kind") == WORD)
@@ -329,7 +330,7 @@ def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES, vo
                         pa.array(base), pa.array(logs), pa.ListArray.from_arrays(pa.array(ends), pa.array(token[tail].view(np.int64))),
                     ], ["doc_id", "tag", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
 
-        return tagged.mapInArrow(step, "doc_id long, tag long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<long>")
+        return tagged.mapInArrow(step, f"doc_id {key}, tag long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<long>")
 
     def more_pass(model_sent, number: int):
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +340,7 @@ def score(docs: DataFrame, fold: int = 2, folds: int = 7, nodes: int = NODES, vo
                     part = batch.slice(piece.lo, piece.hi - piece.lo)
                     yield pa.RecordBatch.from_arrays([part["doc_id"], part["tag"], pa.array(logs)], ["doc_id", "tag", "more"])
 
-        return tagged.mapInArrow(step, "doc_id long, tag long, more double").dropDuplicates(["doc_id", "tag"])
+        return tagged.mapInArrow(step, f"doc_id {key}, tag long, more double").dropDuplicates(["doc_id", "tag"])
 
     out = first_pass(sent(0, _arrays(frequent)))
     if least > 1 or slices > 1:

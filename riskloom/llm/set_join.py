@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import words
 from riskloom.llm.components import components
+from riskloom.llm.ids import of_any_type
 from riskloom.llm.minhash import relabelled, shingles
 from riskloom.llm.scratch import Scratch
 from riskloom.llm.substrings import bit_filters, passes
@@ -495,6 +496,7 @@ class Join:
         return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+@of_any_type("doc_id", "component_id")
 def similar_groups(docs: DataFrame, k: int = SHINGLE, percent: int = THRESHOLD_PERCENT, moved: int = MOVED) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) for every row."""
     return Join(docs, k, percent, moved).groups()

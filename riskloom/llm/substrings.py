@@ -8,7 +8,7 @@ corpus; so shards are made such that equal windows always meet, and only in one
    with the same anchor form one segment. Anchors are counted over all documents; those of one document alone are out.
 2. The anchors that are left go into a filter of bits, broadcast with at most ``FILTER_BITS`` bits: beyond that size
    more segments travel than needed, and the results stay the same. A second filter marks anchors of more than
-   ``HOT_DOCUMENTS`` documents.
+   ``HOT_DOCUMENTS`` documents or ``HOT_SEGMENTS`` segments, so a shard is bounded by both.
 3. The segments of one anchor are a shard. Its automaton is built from the distinct segments with the smallest id of
    their documents at each state; each document's segment is streamed through it, and the matching statistics give the
    smallest id for every window.
@@ -16,7 +16,7 @@ corpus; so shards are made such that equal windows always meet, and only in one
    and the smallest id per window is merged before the shuffle.
 
 Spans are merged per document and cut out of the text. Defined results: null texts have no words; a row without id is
-no reference and loses nothing; rows that share an id do not dedupe each other, and are told apart by their text;
+no reference and loses nothing; ids are of any type that has an order; rows that share an id do not dedupe each other, and are told apart by their text;
 extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import words
+from riskloom.llm.ids import of_any_type
 from riskloom.session import BROADCAST_ROWS, at_rest
 
 WINDOW = 13
 ANCHOR = 6
 HOT_DOCUMENTS = 64
+HOT_SEGMENTS = 1_024
 FILTER_BITS = 1 << 29
 BITS_PER_ANCHOR = 16
 SLICES = 64
@@ -118,7 +120,7 @@ def segments(piece: words.Piece, window: int, anchor: int) -> tuple[np.ndarray,
 
 
 def anchors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Hash of every distinct anchor of every document."""
+    """Hash of every distinct anchor of every document, with the number of its segments there."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,9 +131,10 @@ def anchors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
                 h, row = h[order], row[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64))], ["hash"])
+                times = np.diff(np.append(np.flatnonzero(new), len(h)))
+                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(times)], ["hash", "segments"])
 
-    return docs.where("doc_id IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(step, "hash long")
+    return docs.where("doc_id IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(step, "hash long, segments long")
 
 
 def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
@@ -284,8 +287,9 @@ def _span_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, tag and the spans (word numbers) that a document with a smaller id has too."""
     spark = docs.sparkSession
-    found = anchors(docs, window, anchor).groupBy("hash").count().where("count > 1")
-    shared = at_rest(found.select("hash", (F.col("count") > HOT_DOCUMENTS).alias("hot")), "anchors")
+    found = anchors(docs, window, anchor).groupBy("hash").agg(F.count("*").alias("documents"), F.sum("segments").alias("segments")).where("documents > 1")
+    hot = (F.col("documents") > HOT_DOCUMENTS) | (F.col("segments") > HOT_SEGMENTS)
+    shared = at_rest(found.select("hash", hot.alias("hot")), "anchors")
     bits = min(FILTER_BITS, max(1 << 16, BITS_PER_ANCHOR * shared.count()))
     filters = spark.sparkContext.broadcast(bit_filters(shared, bits))
     hot = at_rest(hot_windows(docs, filters, window, anchor), "hot-windows")
@@ -331,5 +335,6 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataF
     return joined.select("doc_id", "text", F.col("spans.s").alias("begins"), F.col("spans.e").alias("ends")).mapInArrow(step, schema)
 
 
+@of_any_type("doc_id")
 def dedup_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut_out(docs, repeated_spans(docs, window))
