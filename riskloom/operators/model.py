@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +25,10 @@ from riskloom.schemas import (
 from riskloom.session import at_rest
 
 
+# Training rows of one task. Spark keeps them in memory at some 600 bytes a row (20 trees) and reads them once per pass.
+ROWS_PER_TASK = 500_000
+
+
 @dataclass(frozen=True)
 class ForestSettings:
     trees: int = NUM_TREES
@@ -54,10 +59,17 @@ def contract(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """``table`` in so many partitions that none holds many more than ``ROWS_PER_TASK`` rows; one that already is stays as it is."""
+    parts = math.ceil(table.count() / ROWS_PER_TASK)
+    return table.repartition(parts) if parts > table.rdd.getNumPartitions() else table
+
+
 def fit(table: DataFrame, columns: Sequence[str], settings: ForestSettings = ForestSettings()) -> PipelineModel:
+    """Fit a forest. ``table`` should be at rest: its rows are counted first, as what a task holds must not grow with the table."""
     if TARGET not in table.columns:
         raise ValueError(f"Column '{TARGET}' is needed to fit the model.")
-    return forest(columns, settings).fit(align(table, columns, keep=[TARGET]))
+    return forest(columns, settings).fit(spread(align(table, columns, keep=[TARGET])))
 
 
 def score(model: PipelineModel, table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

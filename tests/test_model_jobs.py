@@ -62,6 +62,24 @@ def test_target_is_needed(trained, table):
         m.evaluate(trained.model, table.drop(TARGET))
 
 
+def test_training_rows_are_spread_over_tasks(table, monkeypatch):
+    """One partition of 60 rows is read in parts of about 10; a table in enough partitions is left alone."""
+    seen = []
+
+    class Spy:
+        def fit(self, rows):
+            seen.append(rows)
+
+    monkeypatch.setattr(m, "forest", lambda columns, settings: Spy())
+    m.fit(table, ["a", "b"], SMALL)
+    monkeypatch.setattr(m, "ROWS_PER_TASK", 10)
+    m.fit(table, ["a", "b"], SMALL)
+    m.fit(table.repartition(7), ["a", "b"], SMALL)
+    assert [rows.rdd.getNumPartitions() for rows in seen] == [1, 6, 7]
+    assert max(seen[1].groupBy(F.spark_partition_id()).count().toPandas()["count"]) <= 12
+    assert sorted(seen[1].collect()) == sorted(table.select(TARGET, "a", "b").collect())
+
+
 def test_cross_validation_trains_without_the_held_out_fold(table):
     """A forest that memorises random labels does so only on its training side."""
     noise = table.withColumn(TARGET, (F.hash("id") % 2 == 0).cast("int"))
