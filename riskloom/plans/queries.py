@@ -504,7 +504,8 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     state_path, model_path, columns_path, log_path = (new_path(spark, n) for n in ("state", "model", "columns", "run-log"))
     tables.save_state(zscore.fit_state(stateless), state_path)
     table = zscore.apply_state(stateless, tables.load_state(spark, state_path))
-    tables.save_model(model.fit(table, FEATURE_COLUMNS), model_path)
+    training = at_rest(features.align(table, FEATURE_COLUMNS, [TARGET]), "features")
+    tables.save_model(model.fit(training, FEATURE_COLUMNS), model_path)
     tables.save_columns(spark, FEATURE_COLUMNS, columns_path)
     ended = spark.range(1).select(F.current_timestamp()).first()[0]
     tables.log_run(spark, log_path, "run-1", "scores", ended, model_path, state_path, columns_path)
