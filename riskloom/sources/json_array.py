@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from riskloom.session import at_rest, broadcast_if_small
 
-_STRING = r'"(?:\\.|[^"\\])*"'
-_OPEN_STRING = r'"(?:\\.|[^"\\])*$'
-_REST_OF_STRING = r'^(?:\\.|[^"\\])*"'
+# On a chunk of which only quotes and brackets are left: strings, and those with what is left of the one that the chunk begins in.
+_STRINGS = r'"[^"]*("|$)'
+_STRINGS_FROM_INSIDE = r'^[^"]*("|$)|"[^"]*("|$)'
 BLOCK = ["file", "block"]
 
 
@@ -29,15 +29,10 @@ def _count(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def _quotes(text: Column) -> Column:
-    """Quotes that begin or end a string. A chunk ends with a brace, so no escape reaches past its end."""
-    return _count(F.regexp_replace(text, r"\\.", ""), '"')
-
-
-def _depth(text: Column) -> Column:
-    """By how much a chunk that begins outside a string moves the depth, without the brace that ends it."""
-    bare = F.regexp_replace(F.regexp_replace(text, _STRING, ""), _OPEN_STRING, "")
-    return _count(bare, "{") + _count(bare, "[") - _count(bare, "}") - _count(bare, "]")
+def _depth(bare: Column) -> Column:
+    """By how much brackets outside any string move the depth."""
+    opened, closed = F.translate(bare, "{[", ""), F.translate(bare, "}]", "")
+    return F.length(closed) - F.length(opened)
 
 
 def chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -50,11 +45,14 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
     )
-    odd, text = _quotes(F.col("text")) % 2, F.col("text")
-    left_string = F.when(_quotes(text) > 0, _depth(F.regexp_replace(text, _REST_OF_STRING, ""))).otherwise(0)
-    closes = lambda begins: F.when((begins + odd) % 2 == 0, 1).otherwise(0)
-    moves = F.array(_depth(text) - closes(F.lit(0)), left_string - closes(F.lit(1)))
-    return read.withColumns({"odd": odd.cast("long"), "moves": F.transform(moves, lambda m: m.cast("long"))})
+    # One pass over the text; the rest is found on the few quotes and brackets. A chunk ends with a brace, so no escape reaches past its end.
+    text = F.col("text")
+    unescaped = F.when(text.contains("\\"), F.regexp_replace(text, r"\\.", "")).otherwise(text)
+    read = read.withColumn("marks", F.regexp_replace(unescaped, r'[^"{}\[\]]+', ""))
+    read = read.withColumns({"odd": (_count(F.col("marks"), '"') % 2).cast("long"), "bare0": F.regexp_replace("marks", _STRINGS, ""), "bare1": F.regexp_replace("marks", _STRINGS_FROM_INSIDE, "")})
+    closes = lambda begins: F.when((begins + F.col("odd")) % 2 == 0, 1).otherwise(0)
+    moves = F.array(*[(_depth(F.col(f"bare{s}")) - closes(F.lit(s))).cast("long") for s in (0, 1)])
+    return read.withColumn("moves", moves).drop("marks", "bare0", "bare1")
 
 
 def _before(value: Column, *by: str, order: str) -> Column:
@@ -101,10 +99,10 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def write_json_array(df: DataFrame, path: str, key: str, files: int = 1) -> None:
     """Rows as so many files of one JSON array each, dealt by a hash of ``key``; missing values are explicit nulls."""
-    order = Window.partitionBy("file").orderBy("line")
     text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), text.alias("line"))
-    comma = F.when(F.row_number().over(order) == 1, "").otherwise(",")
-    lines = rows.select("file", F.lit(1).alias("rank"), F.concat(comma, F.col("line")).alias("value"))
-    ends = df.sparkSession.range(files).select(F.col("id").alias("file"), F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(t).alias("value")) for r, t in ((0, "["), (2, "]"))])))
-    lines.unionByName(ends).repartition(files, "file").sortWithinPartitions("file", "rank").select("value", "file").write.partitionBy("file").text(path)
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.lit(1).alias("rank"), text.alias("line"))
+    ends = df.sparkSession.range(files).select(F.col("id").alias("file"), F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(t).alias("line")) for r, t in ((0, "["), (2, "]"))])))
+    # Records need no order among themselves: one shuffle, and a file's rows are sorted by rank alone. The first record is its second row.
+    place = F.row_number().over(Window.partitionBy("file").orderBy("rank"))
+    comma = F.when((F.col("rank") == 1) & (place > 2), ",").otherwise("")
+    rows.unionByName(ends).select(F.concat(comma, F.col("line")).alias("value"), "file").write.partitionBy("file").text(path)

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.schemas import LIVE
 from riskloom.sources import json_array, tables
@@ -49,3 +50,20 @@ def test_live_file(spark, small_ranges, tmp_path):
 def test_short_files(spark, tmp_path, text, rows):
     (tmp_path / "a.json").write_text(text)
     assert json_array.read_json_array(spark, str(tmp_path), LIVE).count() == rows
+
+
+def test_text_is_searched_once(spark, tmp_path):
+    """Of the whole text a chunk's escapes are taken away and its marks kept; strings are found among the marks alone."""
+    (tmp_path / "a.json").write_text("[]")
+    plan = json_array.chunks(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(value") + plan.count("regexp_replace(text") <= 2
+
+
+def test_written_arrays_are_json(spark, tmp_path):
+    """Every file is one array, with copies of a record, one record, or none; it takes one shuffle and no sort of texts."""
+    for n in (0, 1, 500):
+        rows = spark.range(n).select(F.when(F.col("id") % 5 != 0, F.col("id") % 40).alias("a"), F.lit('x"},{[\\').alias("b")).repartition(3)
+        json_array.write_json_array(rows, str(tmp_path / str(n)), "a", files=3)
+        found = [json.loads(f.read_text()) for f in (tmp_path / str(n)).rglob("part-*.txt")]
+        assert len(found) == 3
+        assert sorted(str(r) for f in found for r in f) == sorted(str(r.asDict()) for r in rows.collect())
