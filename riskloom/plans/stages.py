@@ -88,7 +88,9 @@ def load_stage(spark: SparkSession, at: Layout, csv_path: str, how: Settings = S
     cuts_path = at.at("load-cuts")
     cuts = tables.read_table(spark, cuts_path, growing.schema()) if tables.exists(spark, cuts_path) else spark.createDataFrame([], growing.CUTS)
     load = (cuts.agg(F.max("load")).first()[0] or 0) + 1
-    balanced = at_rest(balance(binarise(fill_numeric(tables.read_raw_csv(spark, csv_path))), how.key, how.seed), "balanced")
+    # The text is parsed once; the passes that look for the cuts read columns.
+    labelled = at_rest(binarise(fill_numeric(tables.read_raw_csv(spark, csv_path))), "labelled")
+    balanced = at_rest(balance(labelled, how.key, how.seed), "balanced")
     stateless = add_stateless(balanced)
     tables.write_table(stateless, at.at(f"loads/load={load}"))
     tables.write_table(moments.load_moments(stateless, ["income", *how.features]), at.at(f"load-moments/load={load}"))

@@ -124,3 +124,22 @@ def test_loads_added_one_by_one(spark, tmp_path):
     fitted = {(r.scope, r.year): (r["mean"], r["std"]) for r in zscore.fit_state(found).collect()}
     saved = {(r.scope, r.year): (r["mean"], r["std"]) for r in tables.load_state(spark, at.at("load-state")).collect()}
     assert saved.keys() == fitted.keys() and all(saved[k] == pytest.approx(fitted[k], rel=1e-9) for k in fitted)
+
+
+def test_a_load_parses_its_text_once(spark, tmp_path, monkeypatch):
+    """The passes that look for cuts read columns at rest, not the CSV again."""
+    from riskloom.plans import stages
+    from riskloom.sources import tables
+
+    parsed, read = spark.sparkContext.accumulator(0), tables.read_raw_csv
+
+    def counted(address):
+        parsed.add(1)
+        return address
+
+    marked = F.udf(counted, "string")
+    monkeypatch.setattr(tables, "read_raw_csv", lambda *a: read(*a).withColumn("address", marked("address")))
+    raw, csv = star.raw(spark, SF_DIR), str(tmp_path / "csv")
+    raw.write.option("header", True).csv(csv)
+    stages.load_stage(spark, stages.Layout(str(tmp_path / "root")), csv, stages.Settings(key=["address"]))
+    assert parsed.value == raw.count()
