@@ -25,6 +25,8 @@ from riskloom.schemas import (
 from riskloom.session import at_rest
 
 
+# A cross-validation fits its folds side by side up to this many rows; each fit over more fills a cluster, and its memory, alone.
+ROWS_SIDE_BY_SIDE = 1_000_000
 # Training rows of one task. Spark keeps them in memory at some 600 bytes a row (20 trees) and reads them once per pass.
 ROWS_PER_TASK = 500_000
 
@@ -38,7 +40,8 @@ class ForestSettings:
     max_bins: int = 128
     # Memory for the statistics of the tree nodes grown in one pass over the data. Deep
     # trees have many nodes, and each group of nodes that does not fit costs a pass.
-    node_memory_mb: int = 1024
+    # Every running task holds that much, so an executor holds it once per core.
+    node_memory_mb: int = 512
 
 
 def forest(columns: Sequence[str], settings: ForestSettings = ForestSettings()) -> Pipeline:
@@ -88,17 +91,20 @@ def cross_validate(
 ) -> DataFrame:
     """Fit once per fold and score its two sides: rows (fold, split, metric, value).
 
-    Up to ``parallelism`` fits are submitted to the cluster at a time.
+    Up to ``parallelism`` fits are submitted to the cluster at a time, over many rows one. A fold's counts are written as
+    soon as its model is there: no model outlives its fold, and no task holds those of several.
     """
 
-    def predictions(k: int) -> DataFrame:
+    def counted(k: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != k), columns, settings)
         side = F.when(F.col("fold") == k, "test").otherwise("train").alias("split")
-        return score(model, folded, keep=[TARGET, "fold"]).select(F.lit(k).alias("round"), side, TARGET, "pred")
+        scored = score(model, folded, keep=[TARGET, "fold"]).select(F.lit(k).alias("round"), side, TARGET, "pred")
+        return at_rest(confusion(scored, ["round", "split"], label=TARGET), "fold-cells")
 
-    with ThreadPool(min(parallelism, folds)) as pool:
-        parts = pool.map(inheritable_thread_target(folded.sparkSession)(predictions), range(folds))
-    cells = confusion(reduce(DataFrame.unionByName, parts), ["round", "split"], label=TARGET)
+    at_once = min(parallelism, folds) if folded.count() <= ROWS_SIDE_BY_SIDE else 1
+    with ThreadPool(at_once) as pool:
+        parts = pool.map(inheritable_thread_target(folded.sparkSession)(counted), range(folds))
+    cells = reduce(DataFrame.unionByName, parts)
     return scores_of(cells, ["round", "split"]).withColumnRenamed("round", "fold")
 
 

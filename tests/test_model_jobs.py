@@ -80,6 +80,26 @@ def test_training_rows_are_spread_over_tasks(table, monkeypatch):
     assert sorted(seen[1].collect()) == sorted(table.select(TARGET, "a", "b").collect())
 
 
+def test_folds_of_a_large_table_hold_one_model_at_a_time(table, monkeypatch):
+    """Over many rows fits follow each other, and scores are counted before the next one; a few rows are fitted side by side."""
+    events, fit, rest = [], m.fit, m.at_rest
+    monkeypatch.setattr(m, "fit", lambda *a: (events.append("fit"), fit(*a), events.append("fitted"))[1])
+    monkeypatch.setattr(m, "at_rest", lambda df, name: (rest(df, name), events.append(name))[0])
+    folded = assign_folds(table, ["id"], TARGET)
+    together = m.cross_validate(folded, ["a", "b"], settings=SMALL)
+    assert len(events) == 9 and "Exchange" not in together._jdf.queryExecution().executedPlan().toString()
+    events.clear()
+    monkeypatch.setattr(m, "ROWS_SIDE_BY_SIDE", 59)
+    apart = m.cross_validate(folded, ["a", "b"], settings=SMALL)
+    assert events == ["fit", "fitted", "fold-cells"] * 3
+    assert sorted(apart.collect()) == sorted(together.collect())
+
+
+def test_statistics_of_nodes_fit_an_executor():
+    """Each core of an executor holds the statistics of one group of nodes."""
+    assert 4 * m.forest(["a"]).getStages()[1].getMaxMemoryInMB() <= 2048
+
+
 def test_cross_validation_trains_without_the_held_out_fold(table):
     """A forest that memorises random labels does so only on its training side."""
     noise = table.withColumn(TARGET, (F.hash("id") % 2 == 0).cast("int"))
