@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from riskloom.operators.features import align
+from riskloom.operators.forest import MAX_BINS, grow_forest
 from riskloom.operators.metrics import classification_report, confusion, roc_auc, scores_of, summarise_folds, test_summary
 from riskloom.operators.sampling import assign_folds, stratified_split
 from riskloom.schemas import (
@@ -29,6 +30,8 @@ from riskloom.session import at_rest
 ROWS_SIDE_BY_SIDE = 1_000_000
 # Training rows of one task. Spark keeps them in memory at some 600 bytes a row (20 trees) and reads them once per pass.
 ROWS_PER_TASK = 500_000
+# Over more training rows the forest is grown by ``forest.grow_forest``: its deep nodes go with the rows.
+ROWS_OF_CLASSIFIER = 250_000
 
 
 @dataclass(frozen=True)
@@ -62,17 +65,27 @@ def contract(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
-def spread(table: DataFrame) -> DataFrame:
+def spread(table: DataFrame, rows: int) -> DataFrame:
     """``table`` in so many partitions that none holds many more than ``ROWS_PER_TASK`` rows; one that already is stays as it is."""
-    parts = math.ceil(table.count() / ROWS_PER_TASK)
+    parts = math.ceil(rows / ROWS_PER_TASK)
     return table.repartition(parts) if parts > table.rdd.getNumPartitions() else table
 
 
 def fit(table: DataFrame, columns: Sequence[str], settings: ForestSettings = ForestSettings()) -> PipelineModel:
-    """Fit a forest. ``table`` should be at rest: its rows are counted first, as what a task holds must not grow with the table."""
+    """Fit a forest. ``table`` should be at rest: its rows are counted first, as what a task holds must not grow with the table.
+
+    Many rows of two classes are grown node by node where their rows are; a few rows, or another label, go to Spark's classifier.
+    """
     if TARGET not in table.columns:
         raise ValueError(f"Column '{TARGET}' is needed to fit the model.")
-    return forest(columns, settings).fit(spread(align(table, columns, keep=[TARGET])))
+    rows = align(table, columns, keep=[TARGET])
+    sizes = {r[TARGET]: r["count"] for r in rows.groupBy(TARGET).count().limit(3).collect()}
+    training = spread(rows, table.count() if len(sizes) > 2 else sum(sizes.values()))
+    if set(sizes) == {0, 1} and sum(sizes.values()) > ROWS_OF_CLASSIFIER and settings.max_bins <= MAX_BINS:
+        assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
+        assembled = assembler.transform(training).select(F.col(TARGET).alias("label"), "features")
+        return PipelineModel([assembler, grow_forest(assembled, settings.trees, settings.depth, settings.max_bins, settings.seed)])
+    return forest(columns, settings).fit(training)
 
 
 def score(model: PipelineModel, table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
